@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.operators.joins import join_on_hot_key
+from tradewind.operators.joins import HotKeys, join_on_hot_key
 
 VERSION_COLUMNS = ["version_id", "version_updated_at", "valid_from", "valid_to"]
 
@@ -78,7 +78,7 @@ def current_versions(versions: DataFrame) -> DataFrame:
 
 def version_at(
     facts: DataFrame, versions: DataFrame, key: str, moment: str, how: str = "left",
-    spread_by: str | list[str] | None = None, hot: list | None = None,
+    spread_by: str | list[str] | None = None, hot: HotKeys | None = None,
 ) -> DataFrame:
     """As-of join: the version with ``valid_from <= moment < valid_to`` (open ends count).
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.operators.dedup import duplicate_keys
-from tradewind.operators.joins import join_on_hot_key
+from tradewind.operators.joins import HotKeys, join_on_hot_key
 
 RESULT_SCHEMA = (
     "run_id string, model_name string, test_name string, test_column string, status string, "
@@ -195,13 +195,16 @@ def freshness(
     )
 
 
-def orphan_orders(facts: DataFrame, customers: DataFrame, as_of: datetime, hours: int = 6) -> DataFrame:
+def orphan_orders(
+    facts: DataFrame, customers: DataFrame, as_of: datetime, hours: int = 6,
+    hot: HotKeys | None = None,
+) -> DataFrame:
     """Orders without a customer row, older than ``hours`` before the start of ``as_of``'s day."""
     day = as_of.replace(hour=0, minute=0, second=0, microsecond=0)
     cutoff = F.lit(day - timedelta(hours=hours)).cast("timestamp_ntz")
     old = facts.filter(F.col("order_date_day").cast("timestamp_ntz") < cutoff)
     known = customers.select("customer_sk")
-    lost = join_on_hot_key(old, known, "customer_sk", "left_anti", spread_by="order_id")
+    lost = join_on_hot_key(old, known, "customer_sk", "left_anti", spread_by="order_id", hot=hot)
     return lost.select("order_id", "customer_id", "order_date_day", "order_status")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import calendar, measures
-from tradewind.operators.joins import join_on_hot_key
+from tradewind.operators.joins import HotKeys, join_on_hot_key
 from tradewind.operators.ntile import ntile_scores
 
 # Range that keeps every dated order; a run narrows it for a backfill.
@@ -31,7 +31,7 @@ def order_item_totals(items: DataFrame) -> DataFrame:
 
 
 def int_orders(
-    orders: DataFrame, customers: DataFrame, items: DataFrame, hot_customers: list | None = None
+    orders: DataFrame, customers: DataFrame, items: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """One row per order that is not anomalous, with customer context, calendar and revenue."""
     context = customers.select(
@@ -39,9 +39,7 @@ def int_orders(
     )
     # Orders and line totals are both hashed on order_id here, so this join adds no shuffle.
     sized = orders.filter(~F.col("is_date_anomaly")).join(order_item_totals(items), "order_id", "left")
-    joined = join_on_hot_key(
-        sized, context, "customer_id", spread_by="order_id", hot=hot_customers
-    )
+    joined = join_on_hot_key(sized, context, "customer_id", spread_by="order_id", hot=hot)
     return joined.select(
         "order_id",
         "customer_id",

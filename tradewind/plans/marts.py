@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import casts, keys, measures
 from tradewind.operators.history import current_versions
-from tradewind.operators.joins import join_on_hot_key
+from tradewind.operators.joins import HotKeys, join_on_hot_key
 from tradewind.operators.lookback import DEFAULT_DAYS, since
 
 SNAPSHOT_COLUMNS = [
@@ -83,7 +83,7 @@ def touched_orders(enriched: DataFrame, items: DataFrame, mark: datetime, days:
 
 def fct_orders(
     enriched: DataFrame, customers: DataFrame, mark: datetime | None = None,
-    days: int = DEFAULT_DAYS, items: DataFrame | None = None, hot_customers: list | None = None,
+    days: int = DEFAULT_DAYS, items: DataFrame | None = None, hot: HotKeys | None = None,
 ) -> DataFrame:
     """One row per order.
 
@@ -95,7 +95,7 @@ def fct_orders(
         late = touched_orders(enriched, items, mark, days)
         chosen = chosen.unionByName(late.join(chosen.select("order_id"), "order_id", "left_anti"))
     current = customers.filter("is_current").select("customer_id", "customer_sk")
-    joined = join_on_hot_key(chosen, current, "customer_id", spread_by="order_id", hot=hot_customers)
+    joined = join_on_hot_key(chosen, current, "customer_id", spread_by="order_id", hot=hot)
     return joined.select(
         keys.surrogate_key("order_id").alias("order_sk"),
         "order_id",

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tradewind.functions import calendar, casts, keys, masks
 from tradewind.operators import control, governance, history, lookback, quality, reports
 from tradewind.operators import upsert as merging
+from tradewind.operators.joins import HotKeys
 from tradewind.plans import checks, intermediate, marts, staging
 from tradewind.registry import shapes
 from tradewind.registry.shapes import AS_OF, AS_OF_TS, table
@@ -67,8 +68,15 @@ def stg_products(spark: SparkSession, d: str) -> DataFrame:
     return staging.stg_products(shapes.raw_products(spark, d))
 
 
-def enriched(spark: SparkSession, d: str) -> DataFrame:
-    return intermediate.int_orders(stg_orders(spark, d), stg_customers(spark, d), stg_items(spark, d))
+def hot_customers(spark: SparkSession, d: str) -> HotKeys:
+    return HotKeys(shapes.raw_orders(spark, d), "customer_id")
+
+
+def enriched(spark: SparkSession, d: str, hot: HotKeys | None = None) -> DataFrame:
+    return intermediate.int_orders(
+        stg_orders(spark, d), stg_customers(spark, d), stg_items(spark, d),
+        hot or hot_customers(spark, d),
+    )
 
 
 def metrics(spark: SparkSession, d: str) -> DataFrame:
@@ -110,7 +118,8 @@ def customer_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 def facts(spark: SparkSession, d: str) -> DataFrame:
-    return marts.fct_orders(enriched(spark, d), customer_keys(spark, d))
+    hot = hot_customers(spark, d)
+    return marts.fct_orders(enriched(spark, d, hot), customer_keys(spark, d), hot=hot)
 
 
 # --- staging and models -------------------------------------------------------------------------
@@ -309,8 +318,9 @@ def upsert_new_columns(spark, d):
 
 def fct_late_lines(spark, d):
     """Increment of the fact that also takes older orders whose lines came after the mark."""
+    hot = hot_customers(spark, d)
     rows = marts.fct_orders(
-        enriched(spark, d), customer_keys(spark, d), MARK, items=stg_items(spark, d)
+        enriched(spark, d, hot), customer_keys(spark, d), MARK, items=stg_items(spark, d), hot=hot
     )
     return published(rows.select("order_id", "order_status", "revenue_usd", "_raw_loaded_at"))
 
@@ -340,7 +350,9 @@ def scd2_as_of_join(spark, d):
     )
     orders = stg_orders(spark, d).select("order_id", "customer_id", "order_date")
     return published(
-        history.version_at(orders, versions, "customer_id", "order_date", spread_by="order_id")
+        history.version_at(
+            orders, versions, "customer_id", "order_date", "left", "order_id", hot_customers(spark, d)
+        )
     )
 
 
@@ -455,7 +467,9 @@ def dq_duplicate_keys(spark, d):
 
 
 def dq_orphan_orders(spark, d):
-    return quality.orphan_orders(facts(spark, d), customer_keys(spark, d), AS_OF_TS)
+    raw_keys = shapes.raw_orders(spark, d).select(keys.customer_key("customer_id").alias("customer_sk"))
+    hot = HotKeys(raw_keys, "customer_sk")
+    return quality.orphan_orders(facts(spark, d), customer_keys(spark, d), AS_OF_TS, hot=hot)
 
 
 def dq_revenue_reconciliation(spark, d):

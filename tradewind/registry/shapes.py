@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.sources.seeds import COUNTRY_CODES
 
@@ -35,70 +34,61 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _pick(words: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(w) for w in words]), (index + 1).cast("int"))
+def _pick(words: list[str], index: str) -> str:
+    listed = ", ".join(f"'{w}'" for w in words)
+    return f"element_at(array({listed}), cast({index} + 1 as int))"
 
 
-def _map(words: dict[str, str], column: Column) -> Column:
-    items = iter(words.items())
-    value, word = next(items)
-    result = F.when(column == value, word)
-    for value, word in items:
-        result = result.when(column == value, word)
-    return result
+def _map(words: dict[str, str], column: str) -> str:
+    branches = " ".join(f"when '{k}' then '{v}'" for k, v in words.items())
+    return f"case {column} {branches} end"
+
+
+def _delivered(df: DataFrame, *conditions: str) -> DataFrame:
+    """Each row as delivery 0, and again as delivery 1, 2, ... where that condition holds."""
+    again = [f"if({c}, {i}, null)" for i, c in enumerate(conditions, 1)]
+    numbers = ", ".join(["0", *again])
+    return df.selectExpr("*", f"explode(filter(array({numbers}), x -> x is not null)) as delivery")
 
 
 def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders")
-    k, customer = F.col("o_orderkey"), F.col("o_custkey")
-    deliveries = F.expr(
-        "filter(array(0, if(o_orderkey % 10 = 0, 1, null), if(o_orderkey % 501 = 7, 2, null)), "
-        "x -> x is not null)"
-    )
-    word = (
-        F.when(k % 20 == 0, "cancelled").when(k % 20 == 1, "refunded")
-        .when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "shipped")
-        .otherwise("pending")
+    word = """case when o_orderkey % 20 = 0 then 'cancelled' when o_orderkey % 20 = 1 then 'refunded'
+        when o_orderstatus = 'F' then 'completed' when o_orderstatus = 'O' then 'shipped'
+        else 'pending' end"""
+    delivered = _delivered(
+        table(spark, folder, "orders"), "o_orderkey % 10 = 0", "o_orderkey % 501 = 7"
     )
-    day = F.to_date("o_orderdate")
-    unshipped = F.col("word").isin("pending", "cancelled")
-    shipped = F.date_format(F.date_add(day, (k % 9 - 1).cast("int")), "yyyy-MM-dd")
-    code = F.when(k % 41 == 0, "zz").otherwise(F.lower(_pick(NATION_CODES, customer % 25)))
-    delivery = F.col("delivery")
-    return orders.withColumns({"delivery": F.explode(deliveries), "word": word}).select(
-        F.when(delivery != 2, k.cast("string")).alias("order_id"),
-        F.when(k % 211 == 9, None)
-        .when(k % 307 == 11, F.concat(F.lit("X"), customer.cast("string")))
-        .otherwise(customer.cast("string"))
-        .alias("customer_id"),
-        F.concat(
-            F.lit("  "), F.upper(F.when(delivery == 1, "delivered").otherwise(F.col("word"))), F.lit(" ")
-        ).alias("order_status"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("order_amount"),
-        F.when(k % 997 == 5, "2001-13-45").otherwise(F.date_format(day, "yyyy-MM-dd")).alias("order_date"),
-        F.when(~unshipped, shipped).alias("shipped_date"),
-        F.concat(F.lit(" "), F.upper(_pick(PAYMENT_METHODS, k % 5))).alias("payment_method"),
-        F.concat(code, F.lit(" ")).alias("billing_country"),
-        F.date_add(day, delivery + 1).cast("timestamp_ntz").alias("_loaded_at"),
-        F.concat(F.lit("orders_"), (k % 7).cast("string"), F.lit(".csv")).alias("_source_file"),
-        F.concat(F.lit("run_"), delivery.cast("string")).alias("_ingestion_run_id"),
+    return delivered.selectExpr("*", f"{word} as word", "to_date(o_orderdate) as day").selectExpr(
+        "if(delivery <> 2, cast(o_orderkey as string), null) as order_id",
+        """case when o_orderkey % 211 = 9 then null
+            when o_orderkey % 307 = 11 then concat('X', cast(o_custkey as string))
+            else cast(o_custkey as string) end as customer_id""",
+        "concat('  ', upper(if(delivery = 1, 'delivered', word)), ' ') as order_status",
+        "cast(o_totalprice as decimal(18,2)) as order_amount",
+        "if(o_orderkey % 997 = 5, '2001-13-45', cast(day as string)) as order_date",
+        """if(word in ('pending', 'cancelled'), null,
+            cast(date_add(day, cast(o_orderkey % 9 - 1 as int)) as string)) as shipped_date""",
+        f"concat(' ', upper({_pick(PAYMENT_METHODS, 'o_orderkey % 5')})) as payment_method",
+        f"concat(if(o_orderkey % 41 = 0, 'zz', lower({_pick(NATION_CODES, 'o_custkey % 25')})), ' ')"
+        " as billing_country",
+        "cast(date_add(day, delivery + 1) as timestamp_ntz) as _loaded_at",
+        "concat('orders_', cast(o_orderkey % 7 as string), '.csv') as _source_file",
+        "concat('run_', cast(delivery as string)) as _ingestion_run_id",
     )
 
 
 def order_items_shape(lines: DataFrame) -> DataFrame:
     """Works on the table and on a stream of it."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint") * 100
-    quantity = F.round("l_quantity").cast("bigint")
-    order_id = F.col("l_orderkey").cast("string")
-    price = F.expr("(cents div quantity)").cast("decimal(18,0)") * F.lit("0.0001").cast("decimal(5,4)")
-    return lines.withColumns({"cents": cents, "quantity": quantity}).select(
-        F.concat(order_id, F.lit("-"), F.col("l_linenumber").cast("string")).alias("order_item_id"),
-        order_id.alias("order_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("quantity").cast("decimal(10,0)").alias("quantity"),
-        price.cast("decimal(18,4)").alias("unit_price"),
-        F.round(F.col("l_discount") * 100).cast("decimal(5,2)").alias("discount_pct"),
-        F.col("l_shipdate").alias("_loaded_at"),
+    return lines.selectExpr(
+        "concat(cast(l_orderkey as string), '-', cast(l_linenumber as string)) as order_item_id",
+        "cast(l_orderkey as string) as order_id",
+        "cast(l_partkey as string) as product_id",
+        "cast(round(l_quantity) as decimal(10,0)) as quantity",
+        """cast(cast((cast(round(l_extendedprice * 100) as bigint) * 100)
+            div cast(round(l_quantity) as bigint) as decimal(18,0)) * 0.0001BD
+            as decimal(18,4)) as unit_price""",
+        "cast(round(l_discount * 100) as decimal(5,2)) as discount_pct",
+        "l_shipdate as _loaded_at",
     )
 
 
@@ -107,72 +97,55 @@ def raw_order_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
-    customers = table(spark, folder, "customer")
-    c = F.col("c_custkey")
-    key = c.cast("string")
-    deliveries = F.expr("filter(array(0, if(c_custkey % 5 = 0, 1, null)), x -> x is not null)")
-    delivery = F.col("delivery")
-    created = F.date_add(F.lit(date(1995, 1, 1)), (c * 37 % 2400).cast("int"))
-    updated = F.date_add(F.col("created"), 10 + 30 * delivery)
-    country = F.lower(_pick(NATION_CODES, F.col("c_nationkey")))
-    segment = (
-        F.when(delivery == 1, "vip").when(c % 97 == 3, "unknown")
-        .otherwise(_map(SEGMENT_OF_MARKET, F.col("c_mktsegment")))
-    )
-    iso = "yyyy-MM-dd'T10:23:00Z'"
-    payload = F.to_json(
-        F.struct(
-            key.alias("customer_id"),
-            F.concat(F.lit("p"), key, F.lit("@payload.example")).alias("email"),
-            F.concat(F.lit("+1-555-9"), key).alias("phone"),
-            F.concat(F.lit("First"), key).alias("first_name"),
-            F.concat(F.lit("Last"), key).alias("last_name"),
-            country.alias("country"),
-            F.date_format(F.date_add(F.lit(date(1960, 1, 1)), (c % 15000).cast("int")), "yyyy-MM-dd").alias(
-                "date_of_birth"
-            ),
-            segment.alias("customer_segment"),
-            _pick(CHANNELS, c % 4).alias("acquisition_channel"),
-            (c % 4 != 0).alias("is_email_verified"),
-            F.date_format("created", iso).alias("created_at"),
-            F.when(c % 211 == 0, "not a time").otherwise(F.date_format(updated, iso)).alias("updated_at"),
-        )
-    )
-    direct, has_payload = c % 3 != 1, c % 3 != 0
-    return customers.withColumns({"delivery": F.explode(deliveries), "created": created}).select(
-        F.when(direct, key).alias("customer_id"),
-        F.when(has_payload, F.parse_json(payload)).alias("raw_payload"),
-        F.when(direct, F.concat(F.lit("user"), key, F.lit("@example.com"))).alias("email"),
-        F.when(direct, F.concat(F.lit("+1-555-"), key)).alias("phone"),
-        F.when(direct, country).alias("country"),
-        F.when(direct, F.date_format("created", "yyyy-MM-dd HH:mm:ss")).alias("created_at"),
-        F.date_add("created", delivery + 1).cast("timestamp_ntz").alias("_loaded_at"),
-        F.concat(F.lit("customers_"), (c % 3).cast("string"), F.lit(".json")).alias("_source_file"),
-        F.concat(F.lit("run_"), delivery.cast("string")).alias("_ingestion_run_id"),
+    segment = f"""case when delivery = 1 then 'vip' when c_custkey % 97 = 3 then 'unknown'
+        else {_map(SEGMENT_OF_MARKET, "c_mktsegment")} end"""
+    payload = f"""to_json(named_struct(
+        'customer_id', k,
+        'email', concat('p', k, '@payload.example'),
+        'phone', concat('+1-555-9', k),
+        'first_name', concat('First', k),
+        'last_name', concat('Last', k),
+        'country', nation,
+        'date_of_birth', cast(date_add(date'1960-01-01', cast(c_custkey % 15000 as int)) as string),
+        'customer_segment', {segment},
+        'acquisition_channel', {_pick(CHANNELS, 'c_custkey % 4')},
+        'is_email_verified', c_custkey % 4 <> 0,
+        'created_at', concat(cast(created as string), 'T10:23:00Z'),
+        'updated_at', if(c_custkey % 211 = 0, 'not a time',
+            concat(cast(date_add(created, 10 + 30 * delivery) as string), 'T10:23:00Z'))))"""
+    direct = "c_custkey % 3 <> 1"
+    return _delivered(table(spark, folder, "customer"), "c_custkey % 5 = 0").selectExpr(
+        "*",
+        "cast(c_custkey as string) as k",
+        "date_add(date'1995-01-01', cast(c_custkey * 37 % 2400 as int)) as created",
+        f"lower({_pick(NATION_CODES, 'c_nationkey')}) as nation",
+    ).selectExpr(
+        f"if({direct}, k, null) as customer_id",
+        f"if(c_custkey % 3 <> 0, parse_json({payload}), null) as raw_payload",
+        f"if({direct}, concat('user', k, '@example.com'), null) as email",
+        f"if({direct}, concat('+1-555-', k), null) as phone",
+        f"if({direct}, nation, null) as country",
+        f"if({direct}, concat(cast(created as string), ' 00:00:00'), null) as created_at",
+        "cast(date_add(created, delivery + 1) as timestamp_ntz) as _loaded_at",
+        "concat('customers_', cast(c_custkey % 3 as string), '.json') as _source_file",
+        "concat('run_', cast(delivery as string)) as _ingestion_run_id",
     )
 
 
 def raw_products(spark: SparkSession, folder: str) -> DataFrame:
-    parts = table(spark, folder, "part")
-    p = F.col("p_partkey")
-    deliveries = F.expr("filter(array(0, if(p_partkey % 10 = 0, 1, null)), x -> x is not null)")
-    delivery = F.col("delivery")
-    listed = F.round(F.col("p_retailprice") * 100).cast("bigint") + delivery * 100
-    price = F.when(p % 401 == 0, F.lit(0).cast("bigint")).otherwise(listed)
-    hundredth = F.lit("0.01").cast("decimal(3,2)")
-    small = F.lit("0.0001").cast("decimal(5,4)")
-    share = F.when(p % 53 == 7, 110).otherwise(100 - 2 * F.col("p_size"))
-    cost = F.col("price") * share
-    active = (
-        F.when(p % 11 == 0, None).when(p % 50 == 3, "maybe").when(p % 7 == 0, "false").otherwise("true")
-    )
-    return parts.withColumn("delivery", F.explode(deliveries)).withColumn("price", price).select(
-        p.cast("string").alias("product_id"),
-        F.concat(F.lit(" "), F.col("p_name"), F.lit("  ")).alias("product_name"),
-        F.concat(F.lit(" "), _map(CATEGORY_OF_TYPE, F.col("p_type"))).alias("category"),
-        F.concat(F.lower("p_brand"), F.lit(" ")).alias("brand"),
-        (cost.cast("decimal(18,0)") * small).cast("decimal(18,4)").alias("unit_cost"),
-        (F.col("price").cast("decimal(18,0)") * hundredth).cast("decimal(18,4)").alias("list_price"),
-        active.alias("is_active"),
-        F.date_add(F.lit(date(2001, 1, 1)), delivery).cast("timestamp_ntz").alias("_loaded_at"),
+    return _delivered(table(spark, folder, "part"), "p_partkey % 10 = 0").selectExpr(
+        "*",
+        """if(p_partkey % 401 = 0, 0, cast(round(p_retailprice * 100) as bigint) + delivery * 100)
+            as price""",
+    ).selectExpr(
+        "cast(p_partkey as string) as product_id",
+        "concat(' ', p_name, '  ') as product_name",
+        f"concat(' ', {_map(CATEGORY_OF_TYPE, 'p_type')}) as category",
+        "concat(lower(p_brand), ' ') as brand",
+        """cast(cast(price * if(p_partkey % 53 = 7, 110, 100 - 2 * p_size) as decimal(18,0)) * 0.0001BD
+            as decimal(18,4)) as unit_cost""",
+        "cast(cast(price as decimal(18,0)) * 0.01BD as decimal(18,4)) as list_price",
+        """case when p_partkey % 11 = 0 then null when p_partkey % 50 = 3 then 'maybe'
+            when p_partkey % 7 = 0 then 'false' else 'true' end as is_active""",
+        "cast(date_add(date'2001-01-01', delivery) as timestamp_ntz) as _loaded_at",
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.operators.dedup import refuse_duplicates
-from tradewind.operators.upsert import union_padded, upsert, upsert_if_newer
+from tradewind.operators.upsert import upsert, upsert_if_newer
 from tradewind.session import cut_lineage
 
 WHOLE = "whole"
@@ -142,6 +142,30 @@ class StoredTable:
         self._store_listing(listing)
         return listing
 
+    def append_accepted(self, df: DataFrame, flag: str) -> DataFrame:
+        """Write all rows in one pass, put in force only those whose boolean ``flag`` is false.
+
+        Returns every written row, flag included; the flagged ones stay beside the table for review.
+        The table must have a partition column.
+        """
+        folder = f"_write={uuid.uuid4().hex}"
+        root = f"{self.root}/data/{folder}"
+        conformed = self._conform(df.drop(flag))
+        rows = self._conform(df).withColumn(flag, F.coalesce(flag, F.lit(False)))
+        rows.write.mode("errorifexists").partitionBy(flag, self.partition_by).parquet(root)
+        held = self.listing() or {"version": 0, "parts": {}, "batches": [], "comment": None}
+        parts = dict(held["parts"])
+        good = self._path(f"{root}/{flag}=false")
+        for status in self._fs.listStatus(good) if self._fs.exists(good) else []:
+            label = status.getPath().getName()
+            parts[label] = parts.get(label, []) + [f"{folder}/{flag}=false/{label}"]
+        self._store_listing({
+            **held, "version": held["version"] + 1, "parts": parts,
+            "schema": json.loads(conformed.schema.json()),
+        })
+        schema = rows.schema
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(root)
+
     def overwrite(self, df: DataFrame, comment: str | None = None) -> dict:
         return self._publish(df, None, None, comment)
 
@@ -156,13 +180,15 @@ class StoredTable:
         return self._publish(self._conform(df), {f"{self.partition_by}={v}" for v in labels}, None)
 
     def _conform(self, df: DataFrame) -> DataFrame:
+        """The table's columns in their order, then the ones only ``df`` has."""
         schema = self.schema()
         if schema is None:
             return df
-        empty = self.spark.createDataFrame([], schema)
-        return union_padded(empty, df) if set(df.columns) != set(schema.fieldNames()) else df.select(
-            *schema.fieldNames()
-        )
+        held = [
+            F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+        return df.select(*held, *[c for c in df.columns if c not in schema.fieldNames()])
 
     def upsert(
         self, delta: DataFrame, key: str, version: str | None = None, batch_id: str | None = None
