@@ -18,7 +18,7 @@ from tradewind.operators.quality import freshness, gate, run_checks
 from tradewind.plans import checks, intermediate, marts, staging
 from tradewind.session import cut_lineage
 from tradewind.sources import seeds
-from tradewind.sources.ingest import FORMATS, RawZone, ingest, utc_now
+from tradewind.sources.ingest import FORMATS, RawZone, ingest, side_by_side, utc_now
 from tradewind.sources.landing import entity_sources
 from tradewind.sources.tables import StoredTable
 
@@ -181,7 +181,8 @@ class Warehouse:
     def run(self, landing: str, config: RunConfig) -> dict:
         """Everything in order; a failed check of severity error ends the run there."""
         loads = self.load(landing, config)
-        skipped = {entity: self.stage(entity, config) for entity in STAGED}
+        counts = side_by_side(self.spark, lambda entity: self.stage(entity, config), list(STAGED))
+        skipped = dict(zip(STAGED, counts))
         results = self.check("staging", config)
         self.take_snapshot(config)
         self.build_marts(config)

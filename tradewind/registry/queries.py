@@ -383,30 +383,29 @@ def rolling_spend_alert(spark, d):
 # --- checks -------------------------------------------------------------------------------------
 
 
-def all_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return {
-        "raw_orders": shapes.raw_orders(spark, d),
-        "raw_customers": shapes.raw_customers(spark, d),
-        "raw_order_items": shapes.raw_order_items(spark, d),
-        "raw_products": shapes.raw_products(spark, d),
-        "stg_orders": stg_orders(spark, d),
-        "stg_customers": stg_customers(spark, d),
-        "stg_order_items": stg_items(spark, d),
-        "stg_products": stg_products(spark, d),
-        "fct_orders": facts(spark, d),
-        "dim_customers": customers_dim(spark, d),
-        "dim_products": products_dim(spark, d),
-    }
-
-
 def dq_suite(spark, d):
     """Every declared check with its number of failures.
 
     Models are stored before they are checked, as a run does, so no check builds them again.
     """
+    hot = hot_customers(spark, d)
+    orders, customers = cut_lineage(stg_orders(spark, d)), cut_lineage(stg_customers(spark, d))
+    items, products = cut_lineage(stg_items(spark, d)), cut_lineage(stg_products(spark, d))
+    rows = cut_lineage(intermediate.int_orders(orders, customers, items, hot))
+    value = intermediate.int_lifetime_value(rows, AS_OF)
+    dim = cut_lineage(marts.dim_customers(second_snapshot(spark, d), value))
     tables = {
-        name: df if name.startswith("raw_") else cut_lineage(df)
-        for name, df in all_tables(spark, d).items()
+        "raw_orders": shapes.raw_orders(spark, d),
+        "raw_customers": shapes.raw_customers(spark, d),
+        "raw_order_items": shapes.raw_order_items(spark, d),
+        "raw_products": shapes.raw_products(spark, d),
+        "stg_orders": orders,
+        "stg_customers": customers,
+        "stg_order_items": items,
+        "stg_products": products,
+        "fct_orders": cut_lineage(marts.fct_orders(rows, dim, hot=hot)),
+        "dim_customers": dim,
+        "dim_products": cut_lineage(marts.dim_products(products, seeds.product_categories(spark))),
     }
     return quality.count_failures(checks.all_checks(AS_OF_TS), tables)
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +17,7 @@ from pyspark.sql.utils import AnalysisException
 from tradewind.functions.audit import load_audit
 from tradewind.operators.control import latest_file_status, merge_registry, new_files
 from tradewind.sources.landing import (
-    FILE, PAYLOAD, EntitySource, infer_types, list_files, safe_type, scan,
+    FILE, EntitySource, Layout, compare_columns, list_files, look_at, rows_of,
 )
 from tradewind.sources.tables import StoredTable
 
@@ -63,6 +67,9 @@ class RawZone:
     def __init__(self, spark: SparkSession, root: str, database: str = "RAW", schema: str = "ECOMMERCE"):
         self.spark, self.root = spark, root.rstrip("/")
         self.database, self.schema = database, schema
+        # Entities load side by side; their small appends to the shared logs take turns.
+        self._turn = threading.Lock()
+        self._looked_at: dict[EntitySource, dict[tuple, Layout]] = {}
 
     def target(self, entity: str) -> str:
         return f"{self.database}.{self.schema}.{entity.upper()}"
@@ -102,7 +109,8 @@ class RawZone:
         try:
             events = self.spark.createDataFrame([row], TASK_LOG_SCHEMA)
             events = events.withColumn("execution_id", F.expr("uuid()"))
-            events.coalesce(1).write.mode("append").parquet(f"{self.root}/control/task_log")
+            with self._turn:
+                events.coalesce(1).write.mode("append").parquet(f"{self.root}/control/task_log")
         except Exception:  # noqa: BLE001
             pass
 
@@ -131,7 +139,8 @@ class RawZone:
         schema = T.StructType.fromDDL(FILE_LOG_SCHEMA)
         events = files.withColumns(columns)
         events = events.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        events.coalesce(1).write.mode("append").parquet(f"{self.root}/control/file_log")
+        with self._turn:
+            events.coalesce(1).write.mode("append").parquet(f"{self.root}/control/file_log")
 
     def _register(self, entity: str, fields: list[T.StructField], via: str, at: datetime) -> None:
         rows = [
@@ -140,7 +149,8 @@ class RawZone:
         ]
         seen = self.spark.createDataFrame(rows, REGISTRY_SCHEMA)
         seen = seen.withColumn("registry_id", F.md5(F.concat_ws(".", "target_table", "column_name")))
-        self._registry().overwrite(merge_registry(self.registry(), seen))
+        with self._turn:
+            self._registry().overwrite(merge_registry(self.registry(), seen))
 
     # --- procedures ------------------------------------------------------------------------------
 
@@ -173,15 +183,16 @@ class RawZone:
                 return result
             known = held or _declared_schema(declared or DECLARED.get(source.name))
             # A file that cannot be read is left to the load, which records it as failed.
-            scans, _ = self._readable(source, {r["file_path"]: r["load_path"] for r in files})
-            if not scans:
+            layouts = self._layouts(source, {r["file_path"]: r["load_path"] for r in files})
+            if not layouts:
                 raise ValueError(f"no columns inferred from {source.path}: no readable file")
+            scans = [rows_of(self.spark, layout) for layout in layouts]
             rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-            names = {f.name.lower() for f in known.fields}
-            fresh = [c for c in rows.columns if c not in names and c not in (FILE, PAYLOAD)]
-            types = infer_types(rows, fresh) if fresh else {}
-            added = [T.StructField(c, safe_type(types[c])) for c in fresh]
-            result["type_changes"] = self._type_changes(rows, known)
+            found = compare_columns(rows, known.fields)
+            added = found.added
+            result["type_changes"] = [
+                {"column": f.name, "type": f.dataType.simpleString()} for f in found.changed
+            ]
             if held is None:
                 schema = T.StructType([*known.fields, *added, *T.StructType.fromDDL(AUDIT_SCHEMA).fields])
                 table.overwrite(self.spark.createDataFrame([], schema))
@@ -202,39 +213,24 @@ class RawZone:
             self.log_task(f"infer_{source.name}", "FAILED", started, error=str(error)[:4000])
         return result
 
-    def _readable(self, source: EntitySource, paths: dict[str, str]) -> tuple[list[DataFrame], list[str]]:
-        """Scans that cover all files that can be opened, and the files that cannot."""
+    def _layout(self, source: EntitySource, paths: dict[str, str]) -> Layout:
+        """Layout of some files; the load that follows an inference over the same files reuses it."""
+        known = self._looked_at.setdefault(source, {})
+        key = tuple(sorted(paths))
+        if key not in known:
+            known[key] = look_at(self.spark, source.file_format, paths)
+        return known[key]
+
+    def _layouts(self, source: EntitySource, paths: dict[str, str]) -> list[Layout]:
+        """Layouts that cover all files that can be opened."""
         try:
-            return [scan(self.spark, source.file_format, paths)], []
+            return [self._layout(source, paths)]
         except Exception:  # noqa: BLE001
             if len(paths) == 1:
-                return [], list(paths)
+                return []
             items = list(paths.items())
             half = len(items) // 2
-            left, bad_left = self._readable(source, dict(items[:half]))
-            right, bad_right = self._readable(source, dict(items[half:]))
-            return left + right, bad_left + bad_right
-
-    @staticmethod
-    def _type_changes(rows: DataFrame, known: T.StructType) -> list[dict]:
-        shared = [
-            f for f in known.fields
-            if f.name.lower() in rows.columns and not isinstance(f.dataType, (T.StringType, T.VariantType))
-        ]
-        if not shared:
-            return []
-        measures = []
-        for i, field in enumerate(shared):
-            column = F.col(f"`{field.name.lower()}`")
-            measures += [
-                F.count(column).alias(f"n{i}"),
-                F.count(column.try_cast(field.dataType)).alias(f"fit{i}"),
-            ]
-        found = rows.agg(*measures).first()
-        return [
-            {"column": f.name, "type": f.dataType.simpleString()}
-            for i, f in enumerate(shared) if found[f"n{i}"] and not found[f"fit{i}"]
-        ]
+            return self._layouts(source, dict(items[:half])) + self._layouts(source, dict(items[half:]))
 
     def load_new_files(
         self, source: EntitySource, run_id: str, run_ts: datetime | None = None
@@ -258,6 +254,7 @@ class RawZone:
         listed = self.spark.createDataFrame(files)
         self._log_files(listed, source.name, "IN_PROGRESS", run_id, started)
         self._load(source, files, run_id, started, result)
+        self._looked_at.pop(source, None)
         if result["errors"]:
             result["status"] = "PARTIAL_FAILURE"
         return result
@@ -303,7 +300,7 @@ class RawZone:
         schema = self.table(source.name).schema()
         if schema is None:
             raise FileNotFoundError(f"{self.target(source.name)} does not exist; infer it first")
-        rows = scan(self.spark, source.file_format, paths)
+        rows = rows_of(self.spark, self._layout(source, paths))
         audit = {f.name for f in T.StructType.fromDDL(AUDIT_SCHEMA).fields}
         columns, misfits = [], []
         for field in schema.fields:
@@ -348,18 +345,24 @@ class RawZone:
         self._log_loaded(source, done, present, run_id, utc_now())
 
 
+def side_by_side(spark: SparkSession, work: Callable, items: list) -> list:
+    """``work`` on every item from a thread of its own, so independent jobs share the cluster."""
+    with ThreadPoolExecutor(max_workers=max(len(items), 1)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
+
+
 def ingest(
     zone: RawZone, sources: list[EntitySource], run_id: str, run_ts: datetime | None = None
 ) -> list[dict]:
-    """Infer, then load, every entity; the results of the loads."""
-    results = []
-    for source in sources:
+    """Infer, then load, every entity; the results of the loads in the order of ``sources``."""
+
+    def one(source: EntitySource) -> dict:
         inferred = zone.infer_and_evolve(source, run_id, run_ts)
         if inferred["status"] == "FAILED":
-            results.append({"entity": source.name, "status": "FAILED", "errors": [inferred["error"]]})
-            continue
+            return {"entity": source.name, "status": "FAILED", "errors": [inferred["error"]]}
         started = run_ts or utc_now()
         loaded = zone.load_new_files(source, run_id, run_ts)
         zone.log_task(f"load_{source.name}", "SUCCEEDED", started, loaded["rows_loaded"])
-        results.append(loaded)
-    return results
+        return loaded
+
+    return side_by_side(zone.spark, one, sources)

@@ -47,11 +47,50 @@ def _with_file(df: DataFrame) -> DataFrame:
     return df.withColumn(FILE, F.col("_metadata.file_path"))
 
 
+# --- layouts ------------------------------------------------------------------------------------
+
+CSV, JSON, PARQUET = "csv", "json", "parquet"
+
+
+@dataclass(frozen=True)
+class Layout:
+    """What one look at a set of files found out; rows are then read in a single pass.
+
+    ``groups`` holds (header, files) for CSV, ("lines" or "whole", files) for JSON. ``keys`` are the
+    top-level keys of JSON objects.
+    """
+
+    file_format: str
+    paths: dict[str, str]
+    groups: tuple = ()
+    keys: tuple = ()
+
+
+def look_at(spark: SparkSession, file_format: str, paths: dict[str, str]) -> Layout:
+    """Layout of landed files; ``paths`` maps the reported path of a file to the path to load."""
+    if file_format == CSV:
+        return Layout(CSV, paths, tuple(_csv_headers(spark, list(paths.values()))))
+    if file_format == JSON:
+        return _json_layout(spark, paths)
+    if file_format == PARQUET:
+        return Layout(PARQUET, paths)
+    raise ValueError(f"unknown format {file_format}")
+
+
+def rows_of(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Rows with their file path: columns in lower case, as text (typed, for Parquet)."""
+    return {CSV: _csv_rows, JSON: _json_rows, PARQUET: _parquet_rows}[layout.file_format](spark, layout)
+
+
+def scan(spark: SparkSession, file_format: str, paths: dict[str, str]) -> DataFrame:
+    return rows_of(spark, look_at(spark, file_format, paths))
+
+
 # --- csv ----------------------------------------------------------------------------------------
 
 
-def csv_headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, list[str]]]:
-    """Files grouped by header line: (header, files). Found by one scan that keeps a line per file."""
+def _csv_headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, tuple[str, ...]]]:
+    """Files by header line, found by one scan that keeps one line per file."""
     lines = spark.read.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias(FILE),
@@ -61,8 +100,11 @@ def csv_headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, list[s
     first = lines.filter("start = 0").groupBy(FILE).agg(F.min_by("value", "at").alias("header"))
     groups = defaultdict(list)
     for row in first.collect():
-        groups[row["header"].lstrip("﻿")].append(row[FILE])
-    return sorted(groups.items())
+        groups[row["header"].lstrip("\ufeff")].append(row[FILE])
+    found = [(header, tuple(sorted(files))) for header, files in sorted(groups.items()) if header]
+    if not found:
+        raise ValueError("no columns inferred: no file has a header line")
+    return found
 
 
 def _read_csv(spark: SparkSession, header: str, paths: list[str]) -> DataFrame:
@@ -76,15 +118,9 @@ def _read_csv(spark: SparkSession, header: str, paths: list[str]) -> DataFrame:
     return _with_file(rows).select(*columns, FILE)
 
 
-def scan_csv(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Delimited files as trimmed text columns named in lower case, whatever header each has.
-
-    ``paths`` maps the reported file path to the path to load. Short and long rows are accepted.
-    """
-    groups = csv_headers(spark, list(paths.values()))
-    parts = [_read_csv(spark, header, [paths[f] for f in files]) for header, files in groups if header]
-    if not parts:
-        raise ValueError("no columns inferred: no file has a header line")
+def _csv_rows(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Trimmed text columns by name, whatever header a file has; short and long rows are accepted."""
+    parts = [_read_csv(spark, h, [layout.paths[f] for f in files]) for h, files in layout.groups]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -94,75 +130,80 @@ def scan_csv(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 _OBJECT_LINE = r"^\[?\s*(\{.*\})\s*,?\s*\]?$"
 
 
-def scan_json_payload(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """One variant per object of newline-delimited or array-wrapped JSON files.
+def _object_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    lines = _with_file(spark.read.text(paths)).withColumn("line", F.trim("value"))
+    return lines.filter(~F.col("line").isin("", "[", "]", ",")).select(
+        F.regexp_extract("line", _OBJECT_LINE, 1).alias("object"), FILE
+    )
 
-    Files with an object per line are read line by line, so big ones split over tasks; only files
-    laid out otherwise are read whole.
-    """
-    lines = _with_file(spark.read.text(list(paths.values()))).withColumn("line", F.trim("value"))
-    lines = lines.filter(~F.col("line").isin("", "[", "]", ","))
-    found = lines.withColumn("payload", F.try_parse_json(F.regexp_extract("line", _OBJECT_LINE, 1)))
-    odd = found.filter("payload is null").select(FILE).distinct().collect()
-    whole = {row[FILE] for row in odd}
-    by_line = [p for f, p in paths.items() if f not in whole]
-    parts = []
-    if by_line:
-        rows = _with_file(spark.read.text(by_line)).withColumn("line", F.trim("value"))
-        rows = rows.filter(~F.col("line").isin("", "[", "]", ","))
-        payload = F.parse_json(F.regexp_extract("line", _OBJECT_LINE, 1)).alias("payload")
-        parts.append(rows.select(payload, FILE))
+
+def _whole_objects(spark: SparkSession, paths: list[str]) -> DataFrame:
+    documents = _with_file(spark.read.text(paths, wholetext=True)).withColumn(
+        "document", F.parse_json("value")
+    )
+    is_array = F.schema_of_variant("document").startswith("ARRAY")
+    elements = F.expr("variant_get(document, '$', 'array<variant>')")
+    objects = F.when(is_array, elements).otherwise(F.array("document"))
+    return documents.select(F.explode(objects).alias("payload"), FILE)
+
+
+def _keys(payload: str) -> Column:
+    return F.json_object_keys(F.to_json(payload))
+
+
+def _json_layout(spark: SparkSession, paths: dict[str, str]) -> Layout:
+    """Newline-delimited and array-wrapped files with an object per line are read line by line, so
+    big ones split over tasks; only files laid out otherwise are read whole. One scan tells which,
+    and collects the distinct keys."""
+    found = _object_lines(spark, list(paths.values())).withColumn("payload", F.try_parse_json("object"))
+    odd = F.col("payload").isNull()
+    seen = found.select(F.when(odd, F.col(FILE)).alias("odd"), F.explode_outer(_keys("payload")).alias("key"))
+    pairs = seen.distinct().collect()
+    whole = tuple(sorted({r["odd"] for r in pairs if r["odd"]}))
+    keys = {r["key"] for r in pairs if r["key"] is not None}
     if whole:
-        documents = _with_file(
-            spark.read.text([paths[f] for f in sorted(whole)], wholetext=True)
-        ).withColumn("document", F.parse_json("value"))
-        is_array = F.schema_of_variant("document").startswith("ARRAY")
-        single = documents.filter(~is_array).select(F.col("document").alias("payload"), FILE)
-        many = documents.filter(is_array).select(
-            F.explode(F.expr("variant_get(document, '$', 'array<variant>')")).alias("payload"), FILE
-        )
-        parts += [single, many]
-    return reduce(DataFrame.unionByName, parts)
+        objects = _whole_objects(spark, [paths[f] for f in whole])
+        keys |= {r[0] for r in objects.select(F.explode(_keys("payload"))).distinct().collect()}
+    if not keys:
+        raise ValueError("no columns inferred: no objects found")
+    lines = tuple(f for f in paths if f not in whole)
+    groups = tuple((kind, files) for kind, files in (("lines", lines), ("whole", whole)) if files)
+    return Layout(JSON, paths, groups, tuple(sorted(keys)))
 
 
-def payload_keys(rows: DataFrame) -> list[str]:
-    """Top-level keys over all payloads."""
-    keys = rows.select(F.explode(F.json_object_keys(F.to_json("payload"))).alias("key")).distinct()
-    return sorted(row["key"] for row in keys.collect())
+def json_payloads(spark: SparkSession, layout: Layout) -> DataFrame:
+    """One variant per JSON object."""
+    parts = []
+    for kind, files in layout.groups:
+        paths = [layout.paths[f] for f in files]
+        if kind == "lines":
+            parts.append(_object_lines(spark, paths).select(F.parse_json("object").alias("payload"), FILE))
+        else:
+            parts.append(_whole_objects(spark, paths))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def scan_json(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """JSON objects as text columns per top-level key, next to the whole payload."""
-    rows = scan_json_payload(spark, paths)
-    keys = payload_keys(rows)
-    if not keys:
-        raise ValueError("no columns inferred: no objects found")
+def _json_rows(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Text columns per top-level key, next to the whole payload."""
 
     def value(key: str) -> Column:
         path = "$['" + key.replace("'", "\\'") + "']"
         return F.try_variant_get("payload", path, "string").alias(key.lower())
 
-    return rows.select(*[value(k) for k in keys], F.col("payload").alias(PAYLOAD), FILE)
+    rows = json_payloads(spark, layout)
+    return rows.select(*[value(k) for k in layout.keys], F.col("payload").alias(PAYLOAD), FILE)
 
 
 # --- parquet ------------------------------------------------------------------------------------
 
 
-def scan_parquet(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Typed columns named in lower case, the union of the files' schemas."""
-    rows = spark.read.option("mergeSchema", True).parquet(*paths.values())
+def _parquet_rows(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The union of the files' schemas."""
+    rows = spark.read.option("mergeSchema", True).parquet(*layout.paths.values())
     names = rows.columns
     return _with_file(rows).select(*[F.col(f"`{n}`").alias(n.lower()) for n in names], FILE)
 
 
-SCANS = {"csv": scan_csv, "json": scan_json, "parquet": scan_parquet}
-
-
-def scan(spark: SparkSession, file_format: str, paths: dict[str, str]) -> DataFrame:
-    """Rows of landed files with their file path, columns as text (or typed, for Parquet)."""
-    return SCANS[file_format](spark, paths)
-
-
 # --- types --------------------------------------------------------------------------------------
 
 # Types tried on text in this order; the first that fits every value is taken.
@@ -184,26 +225,47 @@ def _fits(column: Column, datatype: str) -> Column:
     return column.rlike(_SHAPES[datatype]) & column.try_cast(datatype).isNotNull()
 
 
-def infer_types(df: DataFrame, columns: list[str]) -> dict[str, T.DataType]:
-    """Narrowest type per column that holds every non-null value, over all rows in one pass."""
-    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+@dataclass(frozen=True)
+class Columns:
+    """New columns with the type they fit, and held ones none of whose values fits theirs."""
+
+    added: list[T.StructField]
+    changed: list[T.StructField]
+
+
+def compare_columns(rows: DataFrame, held: list[T.StructField]) -> Columns:
+    """Types of columns not ``held`` and misfits of the held ones, over all rows in one pass.
+
+    A new text column gets the first type that fits every non-null value.
+    """
+    known = {f.name.lower(): f for f in held}
+    fresh = [c for c in rows.columns if c not in known and c not in (FILE, PAYLOAD)]
+    texts = [c for c in fresh if isinstance(rows.schema[c].dataType, T.StringType)]
+    typed = [
+        f for name, f in known.items()
+        if name in rows.columns and not isinstance(f.dataType, (T.StringType, T.VariantType))
+    ]
     measures = []
     for i, name in enumerate(texts):
         column = F.col(f"`{name}`")
         measures.append(F.count(column).alias(f"n{i}"))
         for j, datatype in enumerate(TEXT_TYPES):
-            misfit = column.isNotNull() & ~_fits(column, datatype)
-            measures.append(F.count_if(misfit).alias(f"n{i}_{j}"))
-    found = df.agg(*measures).first() if measures else None
-    types = {}
-    for name in columns:
-        if name not in texts:
-            types[name] = safe_type(df.schema[name].dataType)
-            continue
-        i = texts.index(name)
-        fitting = [t for j, t in enumerate(TEXT_TYPES) if found[f"n{i}"] and not found[f"n{i}_{j}"]]
-        types[name] = T.DataType.fromDDL(fitting[0]) if fitting else T.StringType()
-    return types
+            measures.append(F.count_if(column.isNotNull() & ~_fits(column, datatype)).alias(f"n{i}_{j}"))
+    for i, field in enumerate(typed):
+        column = F.col(f"`{field.name.lower()}`")
+        measures.append(F.count(column).alias(f"held{i}"))
+        measures.append(F.count(column.try_cast(field.dataType)).alias(f"fit{i}"))
+    found = rows.agg(*measures).first() if measures else None
+    added = []
+    for name in fresh:
+        datatype = safe_type(rows.schema[name].dataType)
+        if name in texts:
+            i = texts.index(name)
+            fitting = [t for j, t in enumerate(TEXT_TYPES) if found[f"n{i}"] and not found[f"n{i}_{j}"]]
+            datatype = T.DataType.fromDDL(fitting[0]) if fitting else T.StringType()
+        added.append(T.StructField(name, datatype))
+    changed = [f for i, f in enumerate(typed) if found[f"held{i}"] and not found[f"fit{i}"]]
+    return Columns(added, changed)
 
 
 _KEPT = (
