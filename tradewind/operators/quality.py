@@ -47,19 +47,23 @@ class Check:
         return "_".join(p for p in parts if p)
 
 
-def bad_row(check: Check) -> Column | None:
-    """Condition of a failing row, for the kinds that look at one row at a time."""
-    column = F.col(check.column) if check.column else None
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def bad_row(check: Check) -> str | None:
+    """SQL condition of a failing row, for the kinds that look at one row at a time."""
+    column = f"`{check.column}`"
     if check.kind == "not_null":
-        return column.isNull()
+        return f"{column} is null"
     if check.kind == "accepted_values":
-        return column.isNotNull() & ~column.isin(list(check.values))
+        return f"{column} not in ({', '.join(_text(v) for v in check.values)})"
     if check.kind == "between":
-        limits = [] if check.low is None else [column < check.low]
-        limits += [] if check.high is None else [column > check.high]
-        return reduce(lambda a, b: a | b, limits)
+        limits = [] if check.low is None else [f"{column} < {check.low}"]
+        limits += [] if check.high is None else [f"{column} > {check.high}"]
+        return " or ".join(limits)
     if check.kind == "pair_ge":
-        return column < F.col(check.to[1])
+        return f"{column} < `{check.to[1]}`"
     return None
 
 
@@ -97,13 +101,12 @@ def failing_rows(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown check {check.kind}")
 
 
-def _label(check: Check) -> list[Column]:
-    return [
-        F.lit(check.table).alias("model_name"),
-        F.lit(check.kind).alias("test_name"),
-        F.lit(check.column).cast("string").alias("test_column"),
-        F.lit(check.severity).alias("severity"),
-    ]
+def _label(check: Check) -> str:
+    column = _text(check.column) if check.column else "cast(null as string)"
+    return (
+        f"{_text(check.table)} as model_name, {_text(check.kind)} as test_name, "
+        f"{column} as test_column, {_text(check.severity)} as severity"
+    )
 
 
 def count_failures(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
@@ -114,22 +117,19 @@ def count_failures(checks: list[Check], tables: dict[str, DataFrame]) -> DataFra
     per_row = defaultdict(list)
     rest = []
     for check in checks:
-        custom = check.custom is not None or bad_row(check) is None
-        (rest if custom else per_row[check.table]).append(check)
+        single = check.custom is None and bad_row(check) is not None
+        (per_row[check.table] if single else rest).append(check)
     counted = []
     for table, group in per_row.items():
-        totals = tables[table].agg(*[F.count_if(bad_row(c)).alias(f"c{i}") for i, c in enumerate(group)])
-        rows = [
-            F.struct(*_label(c), F.coalesce(f"c{i}", F.lit(0)).alias("failures"))
-            for i, c in enumerate(group)
-        ]
-        counted.append(totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+        counts = [F.expr(f"count_if({bad_row(c)})").alias(f"c{i}") for i, c in enumerate(group)]
+        rows = ", ".join(f"struct({_label(c)}, c{i} as failures)" for i, c in enumerate(group))
+        counted.append(tables[table].agg(*counts).selectExpr(f"inline(array({rows}))"))
     for check in rest:
         total = failing_rows(check, tables).agg(F.count(F.lit(1)).alias("failures"))
-        counted.append(total.select(*_label(check), "failures"))
-    failed = F.col("failures") > 0
-    status = F.when(~failed, "pass").when(F.col("severity") == "warn", "warn").otherwise("error")
-    return reduce(DataFrame.unionByName, counted).withColumn("status", status)
+        counted.append(total.selectExpr(f"inline(array(struct({_label(check)}, failures)))"))
+    return reduce(DataFrame.unionByName, counted).withColumn("status", F.expr(
+        "case when failures = 0 then 'pass' when severity = 'warn' then 'warn' else 'error' end"
+    ))
 
 
 def result_rows(counted: DataFrame, run_id: str, environment: str, tested_at: datetime) -> DataFrame:

@@ -16,9 +16,9 @@ from tradewind.operators.joins import HotKeys
 from tradewind.operators.lookback import DEFAULT_DAYS, high_mark, too_old
 from tradewind.operators.quality import freshness, gate, run_checks
 from tradewind.plans import checks, intermediate, marts, staging
-from tradewind.session import cut_lineage
+from tradewind.session import cut_lineage, side_by_side
 from tradewind.sources import seeds
-from tradewind.sources.ingest import FORMATS, RawZone, ingest, side_by_side, utc_now
+from tradewind.sources.ingest import FORMATS, RawZone, ingest, utc_now
 from tradewind.sources.landing import entity_sources
 from tradewind.sources.tables import StoredTable
 

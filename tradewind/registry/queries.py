@@ -17,7 +17,7 @@ from tradewind.operators.joins import HotKeys
 from tradewind.plans import checks, intermediate, marts, staging
 from tradewind.registry import shapes
 from tradewind.registry.shapes import AS_OF, AS_OF_TS, table
-from tradewind.session import cut_lineage, ensure_checkpoint_dir
+from tradewind.session import cut_lineage, ensure_checkpoint_dir, side_by_side
 from tradewind.sources import seeds
 from tradewind.streaming import feed
 
@@ -389,8 +389,10 @@ def dq_suite(spark, d):
     Models are stored before they are checked, as a run does, so no check builds them again.
     """
     hot = hot_customers(spark, d)
-    orders, customers = cut_lineage(stg_orders(spark, d)), cut_lineage(stg_customers(spark, d))
-    items, products = cut_lineage(stg_items(spark, d)), cut_lineage(stg_products(spark, d))
+    staged = [stg_orders, stg_customers, stg_items, stg_products]
+    orders, customers, items, products = side_by_side(
+        spark, lambda model: cut_lineage(model(spark, d)), staged
+    )
     rows = cut_lineage(intermediate.int_orders(orders, customers, items, hot))
     value = intermediate.int_lifetime_value(rows, AS_OF)
     dim = cut_lineage(marts.dim_customers(second_snapshot(spark, d), value))

@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +13,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tradewind.functions.audit import load_audit
 from tradewind.operators.control import latest_file_status, merge_registry, new_files
+from tradewind.session import side_by_side
 from tradewind.sources.landing import (
     FILE, EntitySource, Layout, compare_columns, list_files, look_at, rows_of,
 )
@@ -345,12 +343,6 @@ class RawZone:
         self._log_loaded(source, done, present, run_id, utc_now())
 
 
-def side_by_side(spark: SparkSession, work: Callable, items: list) -> list:
-    """``work`` on every item from a thread of its own, so independent jobs share the cluster."""
-    with ThreadPoolExecutor(max_workers=max(len(items), 1)) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(work), items))
-
-
 def ingest(
     zone: RawZone, sources: list[EntitySource], run_id: str, run_ts: datetime | None = None
 ) -> list[dict]:
