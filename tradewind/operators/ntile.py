@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tradewind.session import cut_lineage
+from tradewind.session import cut_lineage, side_by_side
 
 # monotonically_increasing_id() keeps the partition number above this bit.
 _PARTITION_SHIFT = 33
@@ -21,79 +18,69 @@ def bucket_starts(rows: int, buckets: int) -> list[int]:
     return [s for s in starts if s < rows]
 
 
-def _common_type(df: DataFrame, columns: list[str]) -> str:
-    types = [df.schema[c].dataType for c in columns]
-    if any(isinstance(t, (T.DoubleType, T.FloatType)) for t in types):
-        return "double"
-    scale = max((t.scale for t in types if isinstance(t, T.DecimalType)), default=0)
-    return f"decimal(38,{scale})"
-
-
-def ntile_scores(
-    df: DataFrame, key: str, scores: dict[str, tuple[str, bool]], buckets: int = 5
-) -> DataFrame:
-    """Add one ``ntile`` column per entry of ``scores``: name -> (numeric column, descending).
+def bucket_borders(df: DataFrame, key: str, column: str, descending: bool, buckets: int) -> list[Row]:
+    """The (value, tie) rows at which buckets 2, 3, ... begin; at most ``buckets - 1`` of them.
 
-    ``key`` must be unique; it breaks ties in ascending order, nulls first. All scores share one
-    range-partitioned sort of narrow (score, value, key) rows. Its counts per partition (a few
-    numbers per task) locate the rows at which buckets begin; only those boundary rows, at most
-    ``buckets - 1`` per score, reach the driver. Scoring is then a plain projection.
+    Narrow rows are range-partitioned and sorted, then stored, so the counts per partition and the
+    lookup of border rows see one and the same order. Only the counts, one per partition, and the
+    border rows reach the driver.
     """
-    base = cut_lineage(df)
-    value_type = _common_type(df, [column for column, _ in scores.values()])
-    names = list(scores)
-
-    def sort_value(column: str, descending: bool):
-        value = F.col(column).cast(value_type)
-        return (-value if descending else value).cast(value_type)
-
-    # Nulls sort last in both directions, as a leading flag.
-    parts = [
-        F.struct(
-            F.lit(i).alias("score"),
-            F.col(column).isNull().alias("absent"),
-            sort_value(column, descending).alias("value"),
-            F.col(key).alias("tie"),
-        )
-        for i, (column, descending) in enumerate(scores.values())
-    ]
-    order = ["score", "absent", "value", "tie"]
+    by_value = F.desc_nulls_last("value") if descending else F.asc_nulls_last("value")
+    order = [by_value, F.asc_nulls_first("tie")]
     ranked = cut_lineage(
-        base.select(F.explode(F.array(*parts)).alias("s"))
-        .select("s.*")
+        df.select(F.col(column).alias("value"), F.col(key).alias("tie"))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("position", F.monotonically_increasing_id())
     )
     counts = (
-        ranked.groupBy("score", F.shiftright("position", _PARTITION_SHIFT).alias("part"))
+        ranked.groupBy(F.shiftright("position", _PARTITION_SHIFT).alias("part"))
         .agg(F.count(F.lit(1)).alias("rows"), F.min("position").alias("first"))
+        .orderBy("part")
         .collect()
     )
-    by_score = defaultdict(list)
-    for row in counts:
-        by_score[row["score"]].append((row["part"], row["rows"], row["first"]))
-    wanted = []
-    for score, blocks in by_score.items():
-        starts = bucket_starts(sum(rows for _, rows, _ in blocks), buckets)
-        passed = 0
-        for _, rows, first in sorted(blocks):
-            wanted += [first + s - passed for s in starts if passed <= s < passed + rows]
-            passed += rows
-    borders = ranked.filter(F.col("position").isin(wanted)).collect() if wanted else []
-
-    tie_type = df.schema[key].dataType
+    starts = bucket_starts(sum(c["rows"] for c in counts), buckets)
+    wanted, passed = [], 0
+    for count in counts:
+        here = [s for s in starts if passed <= s < passed + count["rows"]]
+        wanted += [count["first"] + s - passed for s in here]
+        passed += count["rows"]
+    return ranked.filter(F.col("position").isin(wanted)).collect() if wanted else []
+
+
+def _reached(df: DataFrame, key: str, column: str, descending: bool, border: Row) -> Column:
+    """Whether a row sorts at or after a border row."""
+    value, tie = F.col(column), F.col(key)
+    if border["value"] is None:
+        beyond, level = F.lit(False), value.isNull()
+    else:
+        start = F.lit(border["value"]).cast(df.schema[column].dataType)
+        beyond = value.isNull() | (value < start if descending else value > start)
+        level = value == start
+    if border["tie"] is None:
+        after = F.lit(True)
+    else:
+        after = tie.isNotNull() & (tie >= F.lit(border["tie"]).cast(df.schema[key].dataType))
+    return F.coalesce(beyond | (level & after), F.lit(False))
+
+
+def ntile_scores(
+    df: DataFrame, key: str, scores: dict[str, tuple[str, bool]], buckets: int = 5
+) -> DataFrame:
+    """Add one ``ntile`` column per entry of ``scores``: name -> (column, descending).
+
+    ``key`` must be unique; it breaks ties in ascending order, nulls first. Null values come last.
+    The scores find their border rows side by side; scoring is then a plain projection.
+    """
+    base = cut_lineage(df)
+
+    def borders(name: str) -> list[Row]:
+        return bucket_borders(base, key, *scores[name], buckets)
+
     columns = {}
-    for i, (column, descending) in enumerate(scores.values()):
-        here = F.struct(F.col(column).isNull(), sort_value(column, descending), F.col(key))
+    for name, found in zip(scores, side_by_side(df.sparkSession, borders, list(scores))):
         score = F.lit(1)
-        for border in borders:
-            if border["score"] == i:
-                start = F.struct(
-                    F.lit(border["absent"]),
-                    F.lit(border["value"]).cast(value_type),
-                    F.lit(border["tie"]).cast(tie_type),
-                )
-                score = score + (here >= start).cast("int")
-        columns[names[i]] = score
+        for border in found:
+            score = score + _reached(base, key, *scores[name], border).cast("int")
+        columns[name] = score
     return base.withColumns(columns)
