@@ -32,6 +32,12 @@ def _values(text: str, columns: str) -> str:
     return f"SELECT * FROM (VALUES {rows}) v({columns})"
 
 
+def _average(total: str, count: str) -> str:
+    """Mean of two-digit decimals, rounded half up to six digits by whole-number arithmetic."""
+    millionths = f"(CAST({total} * 100 AS HUGEINT) * 20000 + {count}) // (2 * {count})"
+    return f"CASE WHEN {count} > 0 THEN CAST({millionths} AS DOUBLE) / 1000000 END"
+
+
 CTES: dict[str, str] = {}
 
 CTES["country_codes"] = _values(COUNTRY_CODES, "country_code, country_name, region")
@@ -173,11 +179,11 @@ FROM raw_products WHERE product_id IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY _loaded_at DESC NULLS LAST,
   list_price DESC NULLS LAST, unit_cost DESC NULLS LAST) = 1
 """
-CTES["item_totals"] = """
+CTES["item_totals"] = f"""
 SELECT order_id, count(*) AS line_item_count, CAST(sum(quantity) AS BIGINT) AS total_quantity,
   sum(line_total_usd) AS items_total_usd,
   sum(CASE WHEN discount_pct > 0 THEN line_total_usd END) AS discounted_items_total_usd,
-  avg(discount_pct) AS avg_discount_pct, max(unit_price_usd) AS max_unit_price_usd,
+  {_average("sum(discount_pct)", "count(discount_pct)")} AS avg_discount_pct, max(unit_price_usd) AS max_unit_price_usd,
   count(DISTINCT product_id) AS distinct_product_count
 FROM stg_order_items GROUP BY order_id
 """
@@ -202,8 +208,7 @@ _METRICS = """
 SELECT customer_id, count(order_id) AS total_orders, count_if(is_completed) AS completed_orders,
   count_if(order_status = 'cancelled') AS cancelled_orders,
   sum(CASE WHEN is_completed THEN revenue_usd ELSE 0 END) AS lifetime_value_usd,
-  CAST(sum(CASE WHEN is_completed THEN revenue_usd END) AS DOUBLE) / nullif(count_if(is_completed), 0)
-    AS avg_order_value_usd,
+  {average} AS avg_order_value_usd,
   max(revenue_usd) AS max_order_value_usd, min(order_date) AS first_order_date,
   max(order_date) AS last_order_date,
   datediff('day', min(order_date), max(order_date)) AS customer_tenure_days,
@@ -211,7 +216,14 @@ SELECT customer_id, count(order_id) AS total_orders, count_if(is_completed) AS c
   avg(days_to_ship) AS avg_days_to_ship
 FROM enriched WHERE order_date BETWEEN DATE '{start}' AND DATE '{end}' GROUP BY customer_id
 """
-CTES["metrics"] = _METRICS.format(start="1900-01-01", end="9999-12-31")
+
+
+def _metrics_between(start: str, end: str) -> str:
+    average = _average("sum(CASE WHEN is_completed THEN revenue_usd END)", "count_if(is_completed)")
+    return _METRICS.format(start=start, end=end, average=average)
+
+
+CTES["metrics"] = _metrics_between("1900-01-01", "9999-12-31")
 _SCORES = """
 SELECT *, recency_score + frequency_score + monetary_score AS rfm_score,
   CASE WHEN recency_score >= 4 AND frequency_score >= 4 AND monetary_score >= 4 THEN 'champions'
@@ -341,18 +353,10 @@ _DOUBLES = {
 _DOUBLES["dim"] = _DOUBLES["metrics"]
 _DOUBLES["products"] = _DOUBLES["stg_products"]
 _DOUBLES["facts"] = _DOUBLES["enriched"] + ["gross_margin_usd"]
-_ROUNDED = {
-    "item_totals": ["avg_discount_pct"],
-    "enriched": ["avg_discount_pct"],
-    "facts": ["avg_discount_pct"],
-    "metrics": ["avg_order_value_usd", "avg_days_to_ship"],
-}
-_ROUNDED["dim"] = _ROUNDED["metrics"]
 
 
 def _show(model: str, source: str | None = None) -> str:
     changed = [f"CAST({c} AS DOUBLE) AS {c}" for c in _DOUBLES.get(model, [])]
-    changed += [f"round(CAST({c} AS DOUBLE), 4) AS {c}" for c in _ROUNDED.get(model, [])]
     replace = f" REPLACE ({', '.join(changed)})" if changed else ""
     return f"SELECT *{replace} FROM {source or model}"
 
@@ -378,7 +382,7 @@ FINAL: dict[str, str] = {
         SELECT customer_id, recency_score, frequency_score, monetary_score, rfm_segment
         FROM high_scores""",
     "metrics_backfill": _show(
-        "metrics", f"({_METRICS.format(start='1997-01-01', end='1997-12-31')}) m"
+        "metrics", f"({_metrics_between('1997-01-01', '1997-12-31')}) m"
     ),
     "dim_products": _show("products"),
     "dim_customers": _show("dim"),
@@ -494,8 +498,7 @@ FINAL: dict[str, str] = {
     "dq_revenue_reconciliation": """
         SELECT order_id, CAST(header AS DOUBLE) AS header_revenue_usd,
           CAST(lines AS DOUBLE) AS computed_revenue_usd, CAST(gap AS DOUBLE) AS abs_diff,
-          round(CASE WHEN header > 0 THEN CAST(gap AS DOUBLE) / CAST(header AS DOUBLE) * 100 ELSE 0 END, 4)
-            AS pct_diff
+          CASE WHEN header > 0 THEN CAST(gap AS DOUBLE) / CAST(header AS DOUBLE) * 100 ELSE 0 END AS pct_diff
         FROM (SELECT e.order_id, e.order_amount_usd AS header, t.lines,
                 abs(e.order_amount_usd - coalesce(t.lines, 0)) AS gap
               FROM enriched e LEFT JOIN (SELECT order_id, sum(line_total_usd) AS lines

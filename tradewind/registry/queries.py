@@ -45,10 +45,6 @@ def published(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in columns})
-
-
 # --- layers -------------------------------------------------------------------------------------
 
 
@@ -154,16 +150,16 @@ def events_variant_extract(spark, d):
 
 
 def orders_enriched(spark, d):
-    return published(rounded(enriched(spark, d), "avg_discount_pct"))
+    return published(enriched(spark, d))
 
 
 def order_item_totals(spark, d):
     totals = intermediate.order_item_totals(stg_items(spark, d))
-    return published(rounded(totals, "avg_discount_pct"))
+    return published(totals)
 
 
 def customer_metrics(spark, d):
-    return published(rounded(metrics(spark, d), "avg_order_value_usd", "avg_days_to_ship"))
+    return published(metrics(spark, d))
 
 
 def rfm_scored(spark, d):
@@ -190,7 +186,7 @@ def metrics_backfill(spark, d):
     window = intermediate.customer_metrics(
         enriched(spark, d), AS_OF, date(1997, 1, 1), date(1997, 12, 31)
     )
-    return published(rounded(window, "avg_order_value_usd", "avg_days_to_ship"))
+    return published(window)
 
 
 def dim_products(spark, d):
@@ -198,11 +194,11 @@ def dim_products(spark, d):
 
 
 def dim_customers(spark, d):
-    return published(rounded(customers_dim(spark, d), "avg_order_value_usd", "avg_days_to_ship"))
+    return published(customers_dim(spark, d))
 
 
 def fct_orders(spark, d):
-    return published(rounded(facts(spark, d), "avg_discount_pct"))
+    return published(facts(spark, d))
 
 
 # --- expressions --------------------------------------------------------------------------------
@@ -475,7 +471,7 @@ def dq_orphan_orders(spark, d):
 
 def dq_revenue_reconciliation(spark, d):
     rows = quality.revenue_mismatch(enriched(spark, d), stg_items(spark, d), "order_amount_usd")
-    return published(rows.withColumn("pct_diff", F.round(F.col("pct_diff").cast("double"), 4)))
+    return published(rows)
 
 
 def dq_freshness(spark, d):
