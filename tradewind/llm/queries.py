@@ -4,23 +4,96 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tradewind.llm import packing, token_store
+from tradewind.llm import (
+    decontamination,
+    fingerprint,
+    langid,
+    licenses,
+    packing,
+    pii,
+    substring_dedup,
+    token_store,
+    toxicity,
+)
 from tradewind.llm.common import documents
 
 
+def remainder(column: str, parts: int) -> Column:
+    """crc32 of the number as text, modulo ``parts``."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % parts
+
+
+def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprint.fingerprints(documents(spark, sf_dir)).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids."""
     packed = packing.pack(documents(spark, sf_dir), keep_ids=False)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents."""
+    found = pii.find_pii(documents(spark, sf_dir))
+    counts = [
+        F.size(F.filter("base_spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed(F.col("base_spans")), 256).alias("base_sha256"), pii.listed(F.col("pii_spans")).alias("spans")
+    )
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and labels of all documents."""
+    return licenses.scan_licenses(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labels outside the held-out fold."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    scored = toxicity.toxicity(documents(spark, sf_dir), labels.filter(remainder("doc_id", 5) != 0))
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written to indexed shard files and read back."""
     kept = token_store.token_store(spark, documents(spark, sf_dir))
     return kept.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt from the named ones outside the held-out fold."""
+    docs = documents(spark, sf_dir)
+    found = langid.detect(docs, docs.filter(remainder("doc_id", 4) != 2))
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in all documents."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contamination(documents(spark, sf_dir), items)
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages of fifty words that stand in an earlier one."""
+    kept = substring_dedup.deduplicate(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = (
+    op2_fingerprint, op3_packing, op4_pii, op5_licenses, op6_toxicity, op7_token_store, op8_language,
+    op9_decontamination, op10_substring_dedup,
+)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_packing, op7_token_store)}
+    return {f.__name__: f for f in QUERIES}
