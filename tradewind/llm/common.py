@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zlib
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once a session, so that they need not be installed there."""
+    context = spark.sparkContext
+    if not getattr(context, "_tradewind_sent", False):
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="tradewind-code-")) / "tradewind_modules.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        context._tradewind_sent = True
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -70,8 +85,3 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     borders = np.frombuffer(borders, np.int64, len(wide) + 1, wide.offset * 8) if borders else np.zeros(len(wide) + 1, np.int64)
     data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
     return data, borders[:-1], borders[1:]
-
-
-def bucket(value: int | None, parts: int) -> int:
-    """crc32 of the number as text, modulo ``parts``."""
-    return zlib.crc32(str(value).encode()) % parts

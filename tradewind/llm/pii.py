@@ -104,9 +104,9 @@ def with_matches(docs: DataFrame) -> DataFrame:
         for i, kind in enumerate(KINDS):
             found = spans(text, patterns[kind])
             if strict:
-                found = F.filter(found, lambda s, kind=kind: valid(kind, s["value"]))
+                found = F.filter(found, lambda s: valid(kind, s["value"]))
             found = F.when(may_hold(text, kind), found).otherwise(F.array().cast(SPANS))
-            lists.append(F.transform(found, lambda s, i=i: F.struct(
+            lists.append(F.transform(found, lambda s: F.struct(
                 s["start"].alias("start"), F.lit(i).alias("kind"), s["stop"].alias("stop"), s["value"].alias("value"), s["before"].alias("before"),
             )))
         return F.array_sort(F.concat(*lists))

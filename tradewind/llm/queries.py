@@ -43,7 +43,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of all documents."""
     found = pii.find_pii(documents(spark, sf_dir))
     counts = [
-        F.size(F.filter("base_spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)
+        F.size(F.filter("base_spans", lambda s: s["kind"] == i)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)
     ]
     return found.select(
         "doc_id", *counts, F.sha2(pii.listed(F.col("base_spans")), 256).alias("base_sha256"), pii.listed(F.col("pii_spans")).alias("spans")
