@@ -12,6 +12,7 @@ from tradewind.llm import (
     fingerprint,
     langid,
     licenses,
+    ngram_join,
     packing,
     pii,
     substring_dedup,
@@ -26,6 +27,12 @@ def remainder(column: str, parts: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % parts
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose sets of four-word shingles are 85 % alike."""
+    found = ngram_join.near_duplicates(documents(spark, sf_dir), size=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return fingerprint.fingerprints(documents(spark, sf_dir)).select(
@@ -90,7 +97,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
-    op2_fingerprint, op3_packing, op4_pii, op5_licenses, op6_toxicity, op7_token_store, op8_language,
+    op1_ngram_join, op2_fingerprint, op3_packing, op4_pii, op5_licenses, op6_toxicity, op7_token_store, op8_language,
     op9_decontamination, op10_substring_dedup,
 )
 
