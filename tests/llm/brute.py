@@ -20,15 +20,15 @@ def folded(text: str | None) -> list[str]:
     return WORD.findall((text or "").translate(FOLD))
 
 
-def shingles(text: str | None) -> set[tuple[str, ...]]:
+def shingles(text: str | None, size: int = 4) -> set[tuple[str, ...]]:
     words = CHUNK.findall((text or "").translate(FOLD))
     if not words:
         return set()
-    return {tuple(words[i : i + 4]) for i in range(max(len(words) - 3, 1))}
+    return {tuple(words[i : i + size]) for i in range(max(len(words) - size + 1, 1))}
 
 
-def components(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:
-    sets = {i: shingles(t) for i, t in docs}
+def components(docs: list[tuple[int, str | None]], size: int = 4, percent: int = 85) -> dict[int, tuple[int, int]]:
+    sets = {i: shingles(t, size) for i, t in docs}
     parent = {i: i for i in sets}
 
     def find(i):
@@ -40,7 +40,7 @@ def components(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]
     for n, a in enumerate(ids):
         for b in ids[n + 1 :]:
             x, y = sets[a], sets[b]
-            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 ra, rb = find(a), find(b)
                 parent[max(ra, rb)] = min(ra, rb)
     return {i: (len(sets[i]), find(i)) for i in ids}

@@ -225,7 +225,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without near duplicates: one row of each component, and all rows without words."""
-    tagged = docs.withColumn("__tag", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    tagged = docs.withColumn("__tag", F.xxhash64("doc_id", "text"))
     stay = near_duplicates(docs, size, percent).filter("stays").select(F.col("tag").alias("__stays"), "n_shingles").distinct()
     held_rows = tagged.join(stored(stay, "stay"), F.col("__tag") == F.col("__stays"))
     again = F.row_number().over(Window.partitionBy("__tag").orderBy("__tag"))
