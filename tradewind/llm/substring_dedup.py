@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,19 +85,27 @@ def index_blocks(docs: DataFrame, window: int, block: int) -> DataFrame:
     return held_by.filter("first_id < last_id").select("block")
 
 
-def window_rows(docs: DataFrame, shared: DataFrame, window: int, block: int) -> DataFrame:
-    """``hash, doc_id, tag, start`` of every window around a shared block; ``tag`` tells texts of one id apart."""
-    sent = bitmap(shared, "block")
+def window_rows(
+    docs: DataFrame, blocks: Broadcast, repeated: Broadcast, window: int, block: int, wanted: Broadcast | None = None
+) -> DataFrame:
+    """``hash, doc_id, tag, start`` of every window around a shared block, or of the ``wanted`` ones of them.
+
+    ``tag`` tells the texts of one repeated id apart; it is 0 where the id is not repeated.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
-            tags = batch.column(2).to_numpy()
+            tags = np.where(held(repeated.value, batch.column(3).to_numpy()), batch.column(2).to_numpy(), 0)
             hashes, ids, own, starts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
             for row, doc_id, words in rows_of_words(batch):
                 at, found = chosen_blocks(words, window, block)
-                near = windows_near(words, at[held(sent.value, found.view(np.int64))], window, block) if len(at) else at
+                near = windows_near(words, at[held(blocks.value, found.view(np.int64))], window, block) if len(at) else at
+                values = grams(words, window)[near]
+                if wanted is not None and len(near):
+                    some = held(wanted.value, values.view(np.int64))
+                    near, values = near[some], values[some]
                 if len(near):
-                    hashes.append(grams(words, window)[near])
+                    hashes.append(values)
                     ids.append(np.full(len(near), doc_id))
                     own.append(np.full(len(near), tags[row]))
                     starts.append(near.astype(np.int32))
@@ -114,10 +123,16 @@ def factors(docs: DataFrame, window: int = 50, block: int = BLOCK) -> DataFrame:
     A factor is a run of ``length`` words from ``start`` on whose windows all stand in ``source``, the
     smallest id that has them; factors of one document may overlap by less than a window.
     """
-    shared = stored(index_blocks(docs, window, block), "blocks")
-    rows = stored(window_rows(docs, shared, window, block), "windows")
-    first = rows.groupBy("hash").agg(F.min("doc_id").alias("source")).withColumnRenamed("hash", "window_hash")
-    found = rows.join(first, rows["hash"] == first["window_hash"]).filter("source < doc_id")
+    ids = docs.groupBy("id_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id_hash")
+    repeated = bitmap(stored(ids, "repeated"), "id_hash")
+    blocks = bitmap(stored(index_blocks(docs, window, block), "blocks"), "block")
+    # The texts are read again rather than all their windows kept: those would exceed the texts.
+    index = window_rows(docs, blocks, repeated, window, block).groupBy("hash").agg(
+        F.min("doc_id").alias("source"), F.max("doc_id").alias("last")
+    ).filter("source < last").select(F.col("hash").alias("window_hash"), "source")
+    index = stored(index, "windows")
+    rows = window_rows(docs, blocks, repeated, window, block, bitmap(index, "window_hash"))
+    found = rows.join(index, rows["hash"] == index["window_hash"]).filter("source < doc_id")
     # The windows of one document, never more than its words.
     gathered = found.groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set(F.struct("start", "source"))).alias("windows"))
 
@@ -146,9 +161,9 @@ def deduplicate(docs: DataFrame, window: int = 50, block: int = BLOCK) -> DataFr
     A row without ``doc_id`` is neither reduced nor a reference. Rows that share a ``doc_id`` don't reduce one
     another; each is reduced against smaller ids. An empty table gives no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tag"), F.xxhash64("doc_id").alias("id_hash"))
     spans = factors(rows, window, block).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"), "starts", "lengths")
-    joined = rows.join(spans, (F.col("doc_id") == F.col("__id")) & (F.col("tag") == F.col("__tag")), "left")
+    joined = rows.join(spans, (F.col("doc_id") == F.col("__id")) & ((F.col("__tag") == 0) | (F.col("tag") == F.col("__tag"))), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
