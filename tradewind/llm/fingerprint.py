@@ -101,11 +101,12 @@ def with_edits(docs: DataFrame) -> DataFrame:
     known = rows.filter("doc_id is not null")
     order = successors(rows)
     sent = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("before_id"), F.floor(F.col("longest") / 4).cast("int").alias("size"))
-    heads = known.join(sent, "doc_id").groupBy(F.col("before_id").alias("doc_id")).agg(F.min(F.left("text", F.col("size"))).alias("head"))
+    # Merge joins on both sides, so that the texts are dealt by doc_id once and that exchange serves both.
+    heads = known.join(sent.hint("merge"), "doc_id").groupBy(F.col("before_id").alias("doc_id")).agg(F.min(F.left("text", F.col("size"))).alias("head"))
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.left("text", n - quarter), F.left(F.coalesce("head", F.lit("")), quarter))
-    joined = known.join(order.select("doc_id", "next_id"), "doc_id").join(heads, "doc_id", "left")
+    joined = known.join(order.select("doc_id", "next_id").hint("merge"), "doc_id").join(heads.hint("merge"), "doc_id", "left")
     columns = ["doc_id", "text", "next_id", "head"]
     alone = rows.filter("doc_id is null").withColumns({"next_id": F.lit(None).cast("long"), "head": F.lit(None).cast("string")})
     return joined.select(*columns).unionByName(alone.select(*columns)).select(
