@@ -5,7 +5,7 @@ are similar enough share a shingle of their prefixes. Equal sets become one node
 prefix and size one group; groups that share a prefix shingle and fit in size are candidates, and their
 members are verified on whole sets. Links are only needed to find the components, so each list of
 candidates is first linked to one of its members, and what then still lies in different components is
-compared in full.
+compared in full. Sketches of parities rule out most candidates before any whole set is fetched.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ MAX_COMMON = 1 << 18
 #: Documents of one step of a task that make a shingle count as common.
 COMMON_IN_STEP = 3
 SETS = "tag long, n long, s1 long, s2 long"
+#: Words of 64 bits in a sketch: the parity of the shingles hashed to each bit.
+SKETCH = [f"p{i}" for i in range(8)]
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -57,6 +59,16 @@ def signatures(sets: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.diff(ends), sums_between(sets, ends), sums_between(mixed(sets ^ np.uint64(0xA5A5A5A55A5A5A5A)), ends)
 
 
+def sketches(sets: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One row of ``SKETCH`` words per set. Two sketches differ in no more bits than their sets in shingles."""
+    h = mixed(sets ^ np.uint64(0x5BD1E9955BD1E995))
+    row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    words = np.zeros((len(ends) - 1) * len(SKETCH), np.uint64)
+    place = row * len(SKETCH) + (h >> np.uint64(6)).astype(np.int64) % len(SKETCH)
+    np.bitwise_xor.at(words, place, np.uint64(1) << (h & np.uint64(63)))
+    return words.reshape(-1, len(SKETCH)).view(np.int64)
+
+
 def common_shingles(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The most common shingles, sorted, with counts; at most ``MAX_COMMON``."""
 
@@ -82,6 +94,7 @@ def prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
         for batch in steps(batches):
             sets, ends = shingle_sets(batch, size)
             n, s1, s2 = signatures(sets, ends)
+            bits = sketches(sets, ends)
             rank = np.zeros(len(sets), np.int64)
             if len(tokens):
                 at = np.minimum(np.searchsorted(tokens, sets), len(tokens) - 1)
@@ -103,9 +116,11 @@ def prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(2), pa.array(n), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
                 pa.array(groups.view(np.int64)), pa.array(lists, pa.list_(pa.int64())),
-            ], names=["doc_id", "tag", "n", "s1", "s2", "grp", "prefix"])
+                *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(SKETCH))],
+            ], names=["doc_id", "tag", "n", "s1", "s2", "grp", "prefix", *SKETCH])
 
-    return docs.mapInArrow(cut, f"doc_id long, {SETS}, grp long, prefix array<long>")
+    parity = ", ".join(f"{p} long" for p in SKETCH)
+    return docs.mapInArrow(cut, f"doc_id long, {SETS}, grp long, prefix array<long>, {parity}")
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -138,6 +153,20 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * shared >= percent * union).select("a", "b")
 
 
+def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches allow the similarity; an exact bound, so no link is lost.
+
+    Linked sets x, y have 100 |x ^ y| <= (100 - percent) |x u y|, and |x u y| = (|x| + |y| + |x ^ y|) / 2.
+    """
+    sides = [
+        nodes.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), *[F.col(p).alias(f"{p}_{name}") for p in SKETCH])
+        for name in ("a", "b")
+    ]
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+    apart = sum((F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in SKETCH), F.lit(0))
+    return both.filter((100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+
+
 def fits(a: str, b: str, percent: int) -> Column:
     """Sizes close enough for similarity."""
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
@@ -162,7 +191,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     key = ["n", "s1", "s2"]
     nodes = stored(
         table.filter("n > 0").groupBy(*key).agg(
-            F.min("doc_id").alias("first_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tag"))["tag"].alias("tag"), F.min("grp").alias("grp")
+            F.min("doc_id").alias("first_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tag"))["tag"].alias("tag"), F.min("grp").alias("grp"),
+            *[F.min(p).alias(p) for p in SKETCH],
         )
         .withColumn("node", F.monotonically_increasing_id()), "nodes",
     )
@@ -187,14 +217,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     members = nodes.select("node", "grp", "n")
     exact = postings.join(shared, "token").select("grp", "token").union(several)
     lists = stored(exact.join(members, "grp").select("token", "node", "n"), "lists")
-    candidates = lists.select("node").distinct()
-    sets = stored(whole_sets(rows, nodes.join(candidates, "node").select("node", "tag", *key), size), "sets")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """The links among pairs, from the whole sets of what the sketches leave."""
+        left = stored(plausible(pairs, nodes, percent), "plausible")
+        wanted = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = stored(whole_sets(rows, nodes.join(wanted, "node").select("node", "tag", *key), size), "sets")
+        return verify(left, sets, percent)
 
     # One member of each list, the largest node that begins it, against the others.
     first = stored(lists.groupBy("token").agg(F.min(F.struct("node", "n")).alias("head")), "heads").withColumnRenamed("token", "of")
     stars = lists.join(first, F.col("token") == F.col("of")).filter("node <> head.node").filter(fits("n", "head.n", percent))
     pairs = stored(stars.select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    links = stored(verify(pairs, sets, percent), "links")
+    links = stored(compared(pairs), "links")
     rooted = stored(components(links), "roots")
 
     # What is still apart within a list: members outside its largest component against all of its members.
@@ -207,7 +242,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     few = mixed_lists.filter("root <> main").select(F.col("token").alias("of"), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
     apart = mixed_lists.join(few, F.col("token") == F.col("of")).filter("root <> root_b").filter(fits("n", "n_b", percent))
     rest = apart.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = verify(stored(rest, "rest"), sets, percent)
+    more = compared(stored(rest, "rest"))
     final = stored(components(links.union(more)), "components")
 
     named = nodes.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
