@@ -25,10 +25,6 @@ def days_between(start: Column | str, end: Column | str) -> Column:
     return F.datediff(as_column(end), as_column(start))
 
 
-def days_before(column: Column | str, days: int) -> Column:
-    return as_column(column) - F.make_dt_interval(days=F.lit(days))
-
-
 def clock_hours_between(start: Column | str, end: Column | str) -> Column:
     """Hour boundaries crossed: both ends are cut to the hour before subtracting."""
     return F.timestamp_diff(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -149,7 +149,7 @@ def run_checks(
 
     Returns the result rows, one per declared check.
     """
-    at = tested_at or datetime.now()
+    at = tested_at or datetime.now(timezone.utc).replace(tzinfo=None)
     results = result_rows(count_failures(checks, tables), run_id, environment, at).collect()
     failed = {(r["model_name"], r["test_name"], r["test_column"]) for r in results if r["failures"]}
     for check in checks:

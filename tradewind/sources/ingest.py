@@ -15,7 +15,7 @@ from tradewind.functions.audit import load_audit
 from tradewind.operators.control import latest_file_status, merge_registry, new_files
 from tradewind.session import side_by_side
 from tradewind.sources.landing import (
-    FILE, EntitySource, Layout, compare_columns, list_files, look_at, rows_of,
+    FILE, UNREADABLE, EntitySource, Layout, compare_columns, list_files, look_at, rows_of,
 )
 from tradewind.sources.tables import StoredTable
 
@@ -208,7 +208,7 @@ class RawZone:
                 self.log_task(f"infer_{source.name}", "FAILED", started, error=f"type change, {changes}")
         except Exception as error:  # noqa: BLE001
             result.update(status="FAILED", error=str(error))
-            self.log_task(f"infer_{source.name}", "FAILED", started, error=str(error)[:4000])
+            self.log_task(f"infer_{source.name}", "FAILED", started, error=str(error))
         return result
 
     def _layout(self, source: EntitySource, paths: dict[str, str]) -> Layout:
@@ -271,9 +271,9 @@ class RawZone:
                 return
             message = str(error)
             self._log_files(
-                listed, source.name, "FAILED", run_id, started, error=F.lit(message[:3900])
+                listed, source.name, "FAILED", run_id, started, error=F.lit(message)
             )
-            result["errors"].append({"file": files[0]["file_name"], "error": message[:500]})
+            result["errors"].append({"file": files[0]["file_name"], "error": message})
             return
         self._log_loaded(source, listed, written, run_id, started, result)
 
@@ -316,6 +316,8 @@ class RawZone:
                 value = raw.try_cast(field.dataType)
                 misfits.append(raw.isNotNull() & value.isNull())
             columns.append(value.alias(field.name))
+        if UNREADABLE in rows.columns:
+            misfits.append(F.col(UNREADABLE))
         rejected = reduce(lambda a, b: a | b, misfits, F.lit(False))
         typed = rows.select(*columns, rejected.alias("_rejected"), FILE)
         loaded = load_audit(F.col(FILE), run_id, started)

@@ -15,6 +15,8 @@ from tradewind.functions.casts import null_tokens
 
 FILE = "_file"
 PAYLOAD = "raw_payload"
+#: True for what was landed where a JSON object should be; its payload holds the text.
+UNREADABLE = "_unreadable"
 
 
 @dataclass(frozen=True)
@@ -56,8 +58,8 @@ CSV, JSON, PARQUET = "csv", "json", "parquet"
 class Layout:
     """What one look at a set of files found out; rows are then read in a single pass.
 
-    ``groups`` holds (header, files) for CSV, ("lines" or "whole", files) for JSON. ``keys`` are the
-    top-level keys of JSON objects.
+    ``groups`` holds (header, files, whether records span lines) for CSV, ("lines" or "whole", files) for
+    JSON. ``keys`` are the top-level keys of JSON objects.
     """
 
     file_format: str
@@ -89,29 +91,43 @@ def scan(spark: SparkSession, file_format: str, paths: dict[str, str]) -> DataFr
 # --- csv ----------------------------------------------------------------------------------------
 
 
-def _csv_headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, tuple[str, ...]]]:
-    """Files by header line, found by one scan that keeps one line per file."""
+def _csv_headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, tuple[str, ...], bool]]:
+    """Files by header line and layout, found by one scan that keeps one line per file.
+
+    The header is the first line that is not blank. Where a line has an odd number of quotes, a quoted
+    field goes on in the next line, and the file cannot be split. Repeated names raise an error.
+    """
     lines = spark.read.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("at"),
     )
-    first = lines.filter("start = 0").groupBy(FILE).agg(F.min_by("value", "at").alias("header"))
+    head = F.min_by("value", F.when((F.col("start") == 0) & (F.trim(F.replace("value", F.lit("\ufeff"), F.lit(""))) != ""), F.col("at")))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    first = lines.groupBy(FILE).agg(head.alias("header"), F.bool_or(quotes % 2 == 1).alias("spans"))
     groups = defaultdict(list)
-    for row in first.collect():
-        groups[row["header"].lstrip("\ufeff")].append(row[FILE])
-    found = [(header, tuple(sorted(files))) for header, files in sorted(groups.items()) if header]
+    for row in first.filter("header is not null").collect():
+        groups[row["header"].lstrip("\ufeff"), row["spans"]].append(row[FILE])
+    found = [(header, tuple(sorted(files)), spans) for (header, spans), files in sorted(groups.items())]
+    for header, files, _ in found:
+        names = [n for n in _names(header) if n]
+        if len(set(names)) < len(names):
+            raise ValueError(f"a column name stands twice in the header of {', '.join(files)}: {header}")
     if not found:
         raise ValueError("no columns inferred: no file has a header line")
     return found
 
 
-def _read_csv(spark: SparkSession, header: str, paths: list[str]) -> DataFrame:
-    names = [n.strip().lower() for n in next(csv.reader([header]))]
+def _names(header: str) -> list[str]:
+    return [n.strip().lower() for n in next(csv.reader([header]))]
+
+
+def _read_csv(spark: SparkSession, header: str, paths: list[str], spans: bool) -> DataFrame:
+    names = _names(header)
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
     rows = spark.read.schema(schema).csv(
-        paths, header=True, sep=",", quote='"', escape='"', mode="PERMISSIVE", enforceSchema=True,
+        paths, header=True, sep=",", quote='"', escape='"', mode="PERMISSIVE", enforceSchema=True, multiLine=spans,
         ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True,
     )
     columns = [null_tokens(f"c{i}").alias(n) for i, n in enumerate(names) if n]
@@ -120,78 +136,105 @@ def _read_csv(spark: SparkSession, header: str, paths: list[str]) -> DataFrame:
 
 def _csv_rows(spark: SparkSession, layout: Layout) -> DataFrame:
     """Trimmed text columns by name, whatever header a file has; short and long rows are accepted."""
-    parts = [_read_csv(spark, h, [layout.paths[f] for f in files]) for h, files in layout.groups]
+    parts = [_read_csv(spark, h, [layout.paths[f] for f in files], spans) for h, files, spans in layout.groups]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 # --- json ---------------------------------------------------------------------------------------
 
-# Fixed value: a line holding one whole object, perhaps inside an array.
-_OBJECT_LINE = r"^\[?\s*(\{.*\})\s*,?\s*\]?$"
+def _elements(text: Column, strict: bool) -> Column:
+    """Every value in a text of values between commas, those of arrays one by one; null (or an error, if
+    ``strict``) where anything else stands in it, so no value is passed over."""
+    wrapped = F.concat(F.lit("["), text, F.lit("]"))
+    parsed = F.parse_json(wrapped) if strict else F.try_parse_json(wrapped)
+    values = F.try_variant_get(parsed, "$", "array<variant>")
+    return F.flatten(F.transform(values, lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))))
 
 
-def _object_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    lines = _with_file(spark.read.text(paths)).withColumn("line", F.trim("value"))
-    return lines.filter(~F.col("line").isin("", "[", "]", ",")).select(
-        F.regexp_extract("line", _OBJECT_LINE, 1).alias("object"), FILE
-    )
+def _is_object(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
 
 
-def _whole_objects(spark: SparkSession, paths: list[str]) -> DataFrame:
-    documents = _with_file(spark.read.text(paths, wholetext=True)).withColumn(
-        "document", F.parse_json("value")
+def _as_payloads(found: DataFrame) -> DataFrame:
+    """One row per value of ``values``; what is no object, or a ``text`` without values, is kept as unreadable."""
+    rows = found.select(F.explode_outer("values").alias("value"), "text", FILE)
+    bad = ~F.coalesce(_is_object(F.col("value")), F.lit(False))
+    kept = F.parse_json(F.to_json(F.struct(F.coalesce(F.to_json("value"), "text").alias("unreadable"))))
+    return rows.select(F.when(bad, kept).otherwise(F.col("value")).alias("payload"), bad.alias(UNREADABLE), FILE)
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines that hold more than the brackets and commas of an array around them."""
+    lines = spark.read.text(paths).select(
+        F.regexp_replace(F.trim(F.replace("value", F.lit("\ufeff"), F.lit(""))), r"^,\s*|\s*,$", "").alias("text"),
+        F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"),
     )
-    is_array = F.schema_of_variant("document").startswith("ARRAY")
-    elements = F.expr("variant_get(document, '$', 'array<variant>')")
-    objects = F.when(is_array, elements).otherwise(F.array("document"))
-    return documents.select(F.explode(objects).alias("payload"), FILE)
+    return lines.filter(~F.col("text").isin("", "[", "]"))
 
 
-def _keys(payload: str) -> Column:
-    return F.json_object_keys(F.to_json(payload))
+def _line_values(text: Column) -> Column:
+    """The values of a line, which may be the first or last one of an array that goes on over other lines."""
+    opened = F.regexp_replace(text, r"^\[\s*(?=\{)", "")
+    closed = F.regexp_replace(text, r"(?<=\})\s*\]$", "")
+    return F.coalesce(_elements(text, False), _elements(opened, False), _elements(closed, False))
+
+
+def _line_payloads(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return _as_payloads(_lines(spark, paths).select(_line_values(F.col("text")).alias("values"), "text", FILE))
+
+
+def _whole_payloads(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Files of one array or object; one with anything more raises an error when it is read."""
+    texts = _with_file(spark.read.text(paths, wholetext=True))
+    texts = texts.select(F.replace("value", F.lit("\ufeff"), F.lit("")).alias("text"), FILE).filter(F.trim("text") != "")
+    return _as_payloads(texts.select(_elements(F.col("text"), True).alias("values"), "text", FILE))
+
+
+def _keys(payloads: DataFrame) -> DataFrame:
+    readable = payloads.filter(f"not {UNREADABLE}")
+    return readable.select(F.explode(F.json_object_keys(F.to_json("payload"))).alias("key")).distinct()
 
 
 def _json_layout(spark: SparkSession, paths: dict[str, str]) -> Layout:
-    """Newline-delimited and array-wrapped files with an object per line are read line by line, so
-    big ones split over tasks; only files laid out otherwise are read whole. One scan tells which,
-    and collects the distinct keys."""
-    found = _object_lines(spark, list(paths.values())).withColumn("payload", F.try_parse_json("object"))
-    odd = F.col("payload").isNull()
-    seen = found.select(F.when(odd, F.col(FILE)).alias("odd"), F.explode_outer(_keys("payload")).alias("key"))
-    pairs = seen.distinct().collect()
-    whole = tuple(sorted({r["odd"] for r in pairs if r["odd"]}))
-    keys = {r["key"] for r in pairs if r["key"] is not None}
-    if whole:
-        objects = _whole_objects(spark, [paths[f] for f in whole])
-        keys |= {r[0] for r in objects.select(F.explode(_keys("payload"))).distinct().collect()}
+    """A file whose first line holds whole objects is read line by line, so big ones split over tasks, and a
+    line that cannot be read is one rejected row; files laid out otherwise are read whole."""
+    begins = _lines(spark, list(paths.values())).filter("start = 0").groupBy(FILE).agg(F.min_by("text", "at").alias("text"))
+    values = _line_values(F.col("text"))
+    whole_first = F.coalesce(F.size(values) > 0, F.lit(False)) & F.coalesce(F.forall(values, _is_object), F.lit(False))
+    told = {r[FILE]: r["ok"] for r in begins.select(FILE, whole_first.alias("ok")).collect()}
+    lines = tuple(f for f in paths if told.get(f))
+    whole = tuple(f for f in paths if f in told and not told[f])
+    groups = tuple((kind, files) for kind, files in (("lines", lines), ("whole", whole)) if files)
+    if not groups:
+        raise ValueError("no columns inferred: no objects found")
+    payloads = json_payloads(spark, Layout(JSON, paths, groups))
+    keys = {r["key"] for r in _keys(payloads).collect()}
     if not keys:
         raise ValueError("no columns inferred: no objects found")
-    lines = tuple(f for f in paths if f not in whole)
-    groups = tuple((kind, files) for kind, files in (("lines", lines), ("whole", whole)) if files)
     return Layout(JSON, paths, groups, tuple(sorted(keys)))
 
 
 def json_payloads(spark: SparkSession, layout: Layout) -> DataFrame:
-    """One variant per JSON object."""
-    parts = []
-    for kind, files in layout.groups:
-        paths = [layout.paths[f] for f in files]
-        if kind == "lines":
-            parts.append(_object_lines(spark, paths).select(F.parse_json("object").alias("payload"), FILE))
-        else:
-            parts.append(_whole_objects(spark, paths))
+    """One variant per JSON object, and one per text that should have been one."""
+    read = {"lines": _line_payloads, "whole": _whole_payloads}
+    parts = [read[kind](spark, [layout.paths[f] for f in files]) for kind, files in layout.groups]
     return reduce(DataFrame.unionByName, parts)
 
 
 def _json_rows(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Text columns per top-level key, next to the whole payload."""
+    """Text columns per top-level key, next to the whole payload; keys that differ in case are one column."""
+    spellings = defaultdict(list)
+    for key in layout.keys:
+        spellings[key.lower()].append(key)
 
     def value(key: str) -> Column:
         path = "$['" + key.replace("'", "\\'") + "']"
-        return F.try_variant_get("payload", path, "string").alias(key.lower())
+        return F.when(~F.col(UNREADABLE), F.try_variant_get("payload", path, "string"))
 
     rows = json_payloads(spark, layout)
-    return rows.select(*[value(k) for k in layout.keys], F.col("payload").alias(PAYLOAD), FILE)
+    columns = [F.coalesce(*map(value, keys)).alias(name) for name, keys in sorted(spellings.items())]
+    return rows.select(*columns, F.col("payload").alias(PAYLOAD), UNREADABLE, FILE)
 
 
 # --- parquet ------------------------------------------------------------------------------------
@@ -207,14 +250,16 @@ def _parquet_rows(spark: SparkSession, layout: Layout) -> DataFrame:
 # --- types --------------------------------------------------------------------------------------
 
 # Types tried on text in this order; the first that fits every value is taken.
-TEXT_TYPES = ["bigint", "decimal(38,10)", "double", "date", "timestamp_ntz", "boolean"]
+TEXT_TYPES = ["bigint", "decimal(38,0)", "decimal(38,10)", "double", "date", "timestamp_ntz", "boolean"]
 
 
-# Shape a text must have on top of casting. Leading zeros mark a code, not a number.
+# Shape a text must have on top of casting. Leading zeros mark a code, not a number. A double
+# must not lose digits: it has an exponent, or at most 15 digits.
 _SHAPES = {
     "bigint": "^[+-]?(0|[1-9][0-9]*)$",
-    "decimal(38,10)": r"^[+-]?(0|[1-9][0-9]*)?(\.[0-9]{0,10})?$",
-    "double": r"^[+-]?(0|[1-9][0-9]*)?(\.[0-9]*)?([eE][+-]?[0-9]+)?$",
+    "decimal(38,0)": "^[+-]?(0|[1-9][0-9]{0,37})$",
+    "decimal(38,10)": r"^[+-]?(0|[1-9][0-9]{0,27})?(\.[0-9]{0,10})?$",
+    "double": r"^[+-]?((?=.*[eE])|(?=([^0-9]*[0-9]){1,15}[^0-9]*$))(0|[1-9][0-9]*)?(\.[0-9]*)?([eE][+-]?[0-9]+)?$",
     "date": "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$",
     "timestamp_ntz": "^[0-9]{4}-",
     "boolean": "(?i)^(true|false)$",
@@ -239,7 +284,7 @@ def compare_columns(rows: DataFrame, held: list[T.StructField]) -> Columns:
     A new text column gets the first type that fits every non-null value.
     """
     known = {f.name.lower(): f for f in held}
-    fresh = [c for c in rows.columns if c not in known and c not in (FILE, PAYLOAD)]
+    fresh = [c for c in rows.columns if c not in known and c not in (FILE, PAYLOAD, UNREADABLE)]
     texts = [c for c in fresh if isinstance(rows.schema[c].dataType, T.StringType)]
     typed = [
         f for name, f in known.items()

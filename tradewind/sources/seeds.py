@@ -72,8 +72,3 @@ def country_codes(spark: SparkSession) -> DataFrame:
 
 def product_categories(spark: SparkSession) -> DataFrame:
     return _inline(spark, PRODUCT_CATEGORIES, CATEGORY_SCHEMA)
-
-
-def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A lookup kept as a CSV file with a header, under its declared types."""
-    return spark.read.schema(schema).csv(path, header=True)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -177,7 +178,12 @@ class StoredTable:
 
     def replace(self, df: DataFrame, labels: list[str]) -> dict:
         """Put ``df`` in place of some partitions; its rows in other partitions are added."""
-        return self._publish(self._conform(df), {f"{self.partition_by}={v}" for v in labels}, None)
+        return self._publish(self._conform(df), self._labels(self.listing() or {"parts": {}}, labels), None)
+
+    def _labels(self, listing: dict, values: list) -> set[str]:
+        """Labels in force of some partition values; directories carry them escaped."""
+        wanted = {"__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for v in values}
+        return {label for label in listing["parts"] if unquote(label.partition("=")[2]) in wanted}
 
     def _conform(self, df: DataFrame) -> DataFrame:
         """The table's columns in their order, then the ones only ``df`` has."""
@@ -215,7 +221,7 @@ class StoredTable:
         old = self._rows(held).select(key, column).join(keyed, key, "left_semi").select(column)
         touched = old.unionByName(delta.select(column)).distinct()
         values = [r[0] for r in touched.select(F.col(column).cast("string")).collect()]
-        labels = {f"{column}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for v in values}
+        labels = self._labels(held, values)
         return self._publish(merge(self._rows(held, list(labels))), labels, batch_id)
 
     def expire(self, keep: int = 5) -> int:
