@@ -32,11 +32,34 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
 
 
+#: Lets Spark delete the shuffle files of a query as soon as the query has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read from there: cuts lineage, keeps pruning."""
-    path = work_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written once as Parquet in the shared folder and read from there: cuts lineage, keeps pruning.
+
+    Nothing reads the shuffles behind the written files again, so they go when the write ends.
+    """
+    spark = df.sparkSession
+    path = work_path(spark, label)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what :func:`stored` wrote for ``tables``; nothing may read them, or what is made of them, later."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship(spark: SparkSession) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import stored
+from tradewind.llm.common import discard, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -24,17 +24,20 @@ def components(links: DataFrame) -> DataFrame:
     state = _state(edges)
     while True:
         # Large star: larger neighbours of u go to the least node around u.
-        least = stored(edges.groupBy("u").agg(F.min("v").alias("m")), "least").withColumnRenamed("u", "w")
+        around = stored(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+        least = around.withColumnRenamed("u", "w")
         outward = edges.select(F.col("v").alias("centre"), F.col("u").alias("leaf"))
-        large = outward.join(least, outward["centre"] == least["w"], "left").select(
+        large = stored(outward.join(least, outward["centre"] == least["w"], "left").select(
             F.col("leaf").alias("u"), F.coalesce("m", "centre").alias("v")
-        ).distinct()
-        large = stored(large, "large")
+        ).distinct(), "large")
+        discard(edges, around)
         # Small star: smaller neighbours of u, and u itself, go to the least of them.
-        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least").withColumnRenamed("u", "w")
+        around = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        least = around.withColumnRenamed("u", "w")
         inward = large.join(least, large["u"] == least["w"])
         moved = inward.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stored(moved.union(least.select(F.col("w").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
+        discard(large, around)
         previous, state = state, _state(edges)
         if state == previous:
             break

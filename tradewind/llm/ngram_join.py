@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.bitmap import bitmap, held
-from tradewind.llm.common import steps, stored
+from tradewind.llm.common import discard, steps, stored
 from tradewind.llm.links import components
 from tradewind.llm.words import FOLDED, grams, hashed_words, mixed
 
@@ -217,41 +217,53 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     members = nodes.select("node", "grp", "n")
     exact = postings.join(shared, "token").select("grp", "token").union(several)
     lists = stored(exact.join(members, "grp").select("token", "node", "n"), "lists")
+    signed = stored(table.select("doc_id", "tag", *key), "signed")
+    discard(table, shared)
+    sent.destroy()
 
-    def compared(pairs: DataFrame) -> DataFrame:
+    def compared(pairs: DataFrame, label: str) -> DataFrame:
         """The links among pairs, from the whole sets of what the sketches leave."""
         left = stored(plausible(pairs, nodes, percent), "plausible")
         wanted = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         sets = stored(whole_sets(rows, nodes.join(wanted, "node").select("node", "tag", *key), size), "sets")
-        return verify(left, sets, percent)
+        links = stored(verify(left, sets, percent), label)
+        discard(left, sets)
+        return links
 
     # One member of each list, the largest node that begins it, against the others.
-    first = stored(lists.groupBy("token").agg(F.min(F.struct("node", "n")).alias("head")), "heads").withColumnRenamed("token", "of")
+    first = stored(lists.groupBy(F.col("token").alias("of")).agg(F.min(F.struct("node", "n")).alias("head")), "heads")
     stars = lists.join(first, F.col("token") == F.col("of")).filter("node <> head.node").filter(fits("n", "head.n", percent))
     pairs = stored(stars.select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    links = stored(compared(pairs), "links")
+    links = compared(pairs, "links")
     rooted = stored(components(links), "roots")
 
     # What is still apart within a list: members outside its largest component against all of its members.
+    discard(first)
     placed = stored(lists.join(rooted, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root")), "placed")
+    discard(lists)
     sizes = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m"))
     largest = stored(sizes.groupBy("token").agg(
         F.max_by("root", F.struct("m", "root")).alias("main"), F.count(F.lit(1)).alias("parts")
     ).filter("parts > 1").select(F.col("token").alias("of"), "main"), "largest")
     mixed_lists = stored(placed.join(largest, F.col("token") == F.col("of")).drop("of"), "mixed")
+    discard(placed, largest)
     few = mixed_lists.filter("root <> main").select(F.col("token").alias("of"), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
     apart = mixed_lists.join(few, F.col("token") == F.col("of")).filter("root <> root_b").filter(fits("n", "n_b", percent))
-    rest = apart.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = compared(stored(rest, "rest"))
+    rest = apart.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    rest = stored(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
+    discard(mixed_lists)
+    more = compared(rest, "more")
     final = stored(components(links.union(more)), "components")
+    discard(pairs, rest, links, more)
 
     named = nodes.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = stored(named.groupBy("root").agg(
         F.min("first_id").alias("component_id"), F.min(F.struct(F.col("first_id").isNull(), "first_id", "tag"))["tag"].alias("first_tag")
     ), "least")
     by_node = stored(named.select(*key, "root").join(least, "root").select(*[F.col(k).alias(f"of_{k}") for k in key], "component_id", "first_tag"), "named")
+    discard(nodes, final, least)
     on = [F.col(k) == F.col(f"of_{k}") for k in key]
-    result = table.select("doc_id", "tag", *key).join(by_node, on, "left")
+    result = signed.join(by_node, on, "left")
     return result.select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         "tag", ((F.col("n") == 0) | (F.col("tag") == F.col("first_tag"))).alias("stays"),
