@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import stored
+from tradewind.llm.common import discard, stored
 
 #: Counters, two to a sum of longs; each is a lane modulo 2 ** 16 of the fingerprint.
 LANES = 64
@@ -102,6 +102,7 @@ def with_edits(docs: DataFrame) -> DataFrame:
     order = successors(rows)
     sent = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("before_id"), F.floor(F.col("longest") / 4).cast("int").alias("size"))
     heads = known.join(sent, "doc_id").groupBy(F.col("before_id").alias("doc_id")).agg(F.min(F.left("text", F.col("size"))).alias("head"))
+    heads = stored(heads, "heads")  # so that the shuffle of the texts goes before they are dealt once more
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.left("text", n - quarter), F.left(F.coalesce("head", F.lit("")), quarter))
@@ -126,11 +127,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.explode(F.array(F.struct(F.lit(False).alias("is_edit"), "text"), F.struct(F.lit(True).alias("is_edit"), F.col("edited").alias("text")))).alias("one"),
     ).select("*", "one.is_edit", "one.text").drop("one")
     keys = ["row", "doc_id", "next_id", "n_chars", "edited_sha256"]
-    found = vectors(both, "text", [*keys, "is_edit"])
+    found = stored(vectors(both, "text", [*keys, "is_edit"]), "sums")
     held = found.groupBy(*keys).agg(
         F.max(F.when(~F.col("is_edit"), F.col("vector"))).alias("own"), F.max(F.when(F.col("is_edit"), F.col("vector"))).alias("edit")
     )
     held = stored(held, "vectors")
+    discard(found)
     following = held.filter("doc_id is not null").groupBy(F.col("doc_id").alias("next_id")).agg(F.min("own").alias("next_own"))
     return held.join(following, "next_id", "left").select(
         "doc_id", "n_chars", "edited_sha256", text_of(F.col("own")).alias("fingerprint"),
