@@ -29,7 +29,7 @@ MAX_COMMON = 1 << 18
 COMMON_IN_STEP = 3
 SETS = "tag long, n long, s1 long, s2 long"
 #: Words of 64 bits in a sketch: the parity of the shingles hashed to each bit.
-SKETCH = [f"p{i}" for i in range(8)]
+SKETCH = [f"p{i}" for i in range(32)]
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -221,13 +221,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     discard(table, shared)
     sent.destroy()
 
-    def compared(pairs: DataFrame, label: str) -> DataFrame:
-        """The links among pairs, from the whole sets of what the sketches leave."""
-        left = stored(plausible(pairs, nodes, percent), "plausible")
+    def checked(left: DataFrame, label: str) -> DataFrame:
+        """The links among pairs, from whole sets."""
         wanted = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         sets = stored(whole_sets(rows, nodes.join(wanted, "node").select("node", "tag", *key), size), "sets")
         links = stored(verify(left, sets, percent), label)
-        discard(left, sets)
+        discard(sets)
+        return links
+
+    def compared(pairs: DataFrame, label: str) -> DataFrame:
+        """Links among what the sketches leave of the pairs: all that are needed for the components.
+
+        A node's set is first compared with one partner's; then all pairs which that leaves apart are.
+        """
+        left = stored(plausible(pairs, nodes, percent), "plausible")
+        one = stored(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "one")
+        begun = checked(one, label)
+        roots = stored(components(begun), "begun")
+        sides = [roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}")) for name in ("a", "b")]
+        others = left.join(one, ["a", "b"], "left_anti").join(sides[0], "a", "left").join(sides[1], "b", "left")
+        others = others.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+        others = stored(others, "others")
+        discard(left, one, roots)
+        ended = checked(others, label)
+        discard(others)
+        links = stored(begun.union(ended), label)
+        discard(begun, ended)
         return links
 
     # One member of each list, the largest node that begins it, against the others.
