@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import (
+    conversation_repair,
     decontamination,
     fingerprint,
     langid,
@@ -15,11 +16,13 @@ from tradewind.llm import (
     ngram_join,
     packing,
     pii,
+    simhash,
+    spelling,
     substring_dedup,
     token_store,
     toxicity,
 )
-from tradewind.llm.common import documents
+from tradewind.llm.common import documents, ship
 
 
 def remainder(column: str, parts: int) -> Column:
@@ -96,9 +99,45 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose fingerprints of four-word shingles differ in at most four bits."""
+    found = simhash.simhash_duplicates(documents(spark, sf_dir), size=4, bits=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with a fault in every fourth row, chosen by crc32 of ``conv_id:turn``; rows dropped are not ``present``."""
+    text_of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    marked = rows.withColumn("fault", F.crc32(F.concat(text_of("conv_id"), F.lit(":"), text_of("turn")).cast("binary")) % 20)
+    text, fault = F.coalesce("text", F.lit(" ")), F.col("fault")
+    copies = F.explode(F.when(fault == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy")
+    return marked.select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"), (fault != 0).alias("present"), copies,
+    ).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of all conversations, some of their rows damaged."""
+    ship(spark)
+    return conversation_repair.repair(damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+def misspelt(doc_id: Column, word: Column) -> Column:
+    """The word without one code point where 199 divides the crc32 of id and word."""
+    h = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), word).cast("binary"))
+    place = (h % F.char_length(word)).cast("int")
+    return F.when(h % 199 == 0, F.concat(F.left(word, place), F.substr(word, place + 2))).otherwise(word)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents, some of them misspelt."""
+    return spelling.variants(spelling.word_counts(documents(spark, sf_dir), shortest=6, fewest=5, change=misspelt))
+
+
 QUERIES = (
     op1_ngram_join, op2_fingerprint, op3_packing, op4_pii, op5_licenses, op6_toxicity, op7_token_store, op8_language,
-    op9_decontamination, op10_substring_dedup,
+    op9_decontamination, op10_substring_dedup, op11_simhash, op12_conversation_repair, op13_spelling,
 )
 
 
