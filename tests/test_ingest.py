@@ -171,3 +171,56 @@ def test_latest_run_gate(spark):
         control.require_latest_success(log, "t", T0 + timedelta(minutes=40))
     with pytest.raises(control.RunNotReady):
         control.require_latest_success(log.filter("status = 'FAILED'"), "t", T0 + timedelta(minutes=10))
+
+def scanned(spark, tmp_path, kind, text, split):
+    """What is read from a file of such a text, in splits of a few bytes."""
+    path = tmp_path / f"file.{kind}"
+    path.write_text(text)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        found = landing.scan(spark, kind, {f"file:{path}": str(path)}).drop(landing.FILE).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    good = [r.asDict() for r in found if not r[landing.UNREADABLE]]
+    return good, len(found) - len(good)
+
+
+@pytest.mark.parametrize("split", ["128m", "40b"])
+def test_csv_records_over_lines_and_quotes_that_never_end(spark, tmp_path, split):
+    text = (
+        '\n\t\nid,name\n1,"a\nb ""x"" c\nd"\n2,"e, f"\n3,5" pipe\n4,"open\n5,"x, y"\n6,"p","q\n7,""\n8,"r\ns"\n9,"t""'
+    )
+    good, bad = scanned(spark, tmp_path, "csv", text, split)
+    assert sorted((r["id"], r["name"]) for r in good) == [
+        ("1", 'a\nb "x" c\nd'), ("2", "e, f"), ("3", '5" pipe'), ("5", "x, y"), ("7", None), ("8", "r\ns"),
+    ]
+    assert bad == 3  # records 4, 6 and 9
+
+
+def test_csv_open_quote_costs_one_record(spark, tmp_path):
+    good, bad = scanned(spark, tmp_path, "csv", 'id,name\n1,"abc\n2,def\n3,ghi\n4,jkl\n', "128m")
+    assert (sorted(r["id"] for r in good), bad) == (["2", "3", "4"], 1)
+
+
+def test_csv_header_without_names_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="no column has a name"):
+        scanned(spark, tmp_path, "csv", "\n,,\n1,2,3\n", "128m")
+
+
+@pytest.mark.parametrize("split", ["128m", "40b"])
+def test_json_records_in_any_layout(spark, tmp_path, split):
+    nested = [{"id": f"P{i}", "n": [{"q": 1}, {"q": [2, {"z": "}{"}]}]} for i in range(4)]
+    good, bad = scanned(spark, tmp_path, "json", json.dumps(nested, indent=2), split)
+    assert (sorted(r["id"] for r in good), bad) == ([f"P{i}" for i in range(4)], 0)
+    assert json.loads(good[0]["n"]) == nested[0]["n"]
+    text = '{"id":1}{"id":2}\n{"id":3} {"id":\n4}\n}\n{"id":5}\nnonsense\n[{"id":6},{"id":7}]\n{"id":8,\n{"id":9}\n'
+    good, bad = scanned(spark, tmp_path, "json", text, split)
+    assert (sorted(r["id"] for r in good), bad) == (["1", "2", "3", "4", "5", "6", "7", "9"], 3)
+    lines = '{"a":\n' + "".join(json.dumps({"id": i, "it's": i, "a.b": [i], "c[0]`x": "é}"}) + "\n" for i in range(4))
+    good, bad = scanned(spark, tmp_path, "json", lines, split)
+    assert bad == 1 and sorted((r["id"], r["it's"], r["a.b"], r["c[0]`x"]) for r in good) == [
+        (str(i), str(i), f"[{i}]", "é}") for i in range(4)
+    ]

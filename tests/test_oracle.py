@@ -1,4 +1,4 @@
-"""Every registered query against DuckDB on the same tables."""
+"""Every registered query that SQL can express against DuckDB on the same tables."""
 
 from __future__ import annotations
 
@@ -21,11 +21,18 @@ def connection():
     return compare.connect(FOLDER)
 
 
-def test_every_query_has_reference_sql():
-    assert set(QUERIES) == set(SQL)
+#: Queries SQL cannot express; each is compared with a plain version in tests/llm.
+WITHOUT_SQL = {
+    "pipeline", "op1_ngram_join", "op2_fingerprint", "op3_packing", "op4_pii", "op5_licenses", "op6_toxicity", "op7_token_store", "op8_language",
+    "op9_decontamination", "op10_substring_dedup", "op11_simhash", "op12_conversation_repair", "op13_spelling",
+}
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+def test_every_query_has_reference_sql_or_a_plain_version():
+    assert set(SQL) <= set(QUERIES) <= set(SQL) | WITHOUT_SQL
+
+
+@pytest.mark.parametrize("name", list(SQL))
 def test_query_equals_reference_sql(spark, connection, name):
     assert compare.differences(QUERIES[name](spark, FOLDER), connection, SQL[name]) == []
 

@@ -45,3 +45,8 @@ def upper_text(column: Column | str) -> Column:
 def payload_value(payload: Column | str, key: str, datatype: str) -> Column:
     """Typed value of one top-level key of a variant payload, null if absent or unfit."""
     return F.try_variant_get(as_column(payload), f"$.{key}", datatype)
+
+
+def quoted(name: str) -> str:
+    """A column name as it stands in expressions, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"

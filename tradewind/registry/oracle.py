@@ -9,6 +9,7 @@ import re
 
 from tradewind.functions import measures
 from tradewind.plans import checks
+from tradewind.registry.landings import BROKEN, FILES, NO_NUMBER, TWO_LINES
 from tradewind.registry.shapes import (
     AS_OF_TS, CATEGORY_OF_TYPE, CHANNELS, NATION_CODES, PAYMENT_METHODS, SEGMENT_OF_MARKET,
 )
@@ -563,6 +564,29 @@ FINAL: dict[str, str] = {
         SELECT log_id, started_at, completed_at,
           datediff('second', started_at, completed_at) AS execution_seconds FROM file_log""",
     "stream_dedup_upsert": _show("stg_order_items"),
+    "ingest_csv_orders": f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CASE WHEN early THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
+          CASE WHEN o_orderkey % {TWO_LINES} = 2 THEN o_orderpriority || ', " said' || chr(10) || o_orderstatus
+            WHEN o_orderkey % 11 = 4 THEN o_orderstatus || ' 5" wide' ELSE o_orderpriority END AS note,
+          CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS order_amount, CAST(o_orderdate AS DATE) AS order_date,
+          CASE WHEN NOT early THEN o_custkey % 9 END AS coupon, CASE WHEN early THEN 'first' ELSE 'second' END AS _ingestion_run_id
+        FROM (SELECT *, o_orderdate < TIMESTAMP '1998-01-01' AS early FROM orders)
+        WHERE o_orderkey % {BROKEN} <> 3 AND o_orderkey % {NO_NUMBER} <> 5""",
+    "ingest_csv_drift": f"""
+        SELECT CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 'early' ELSE 'late' END AS layout, o_orderkey % {FILES} AS part,
+          count(*) FILTER (WHERE o_orderkey % {BROKEN} <> 3 AND o_orderkey % {NO_NUMBER} <> 5) AS rows_loaded,
+          count(*) FILTER (WHERE o_orderkey % {BROKEN} = 3 OR o_orderkey % {NO_NUMBER} = 5) AS rows_rejected, 'SUCCESS' AS load_status
+        FROM orders GROUP BY 1, 2""",
+    "ingest_json_layouts": f"""
+        SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS name, c_mktsegment AS segment, '{{[ "' || c_mktsegment AS bracket,
+          CAST(c_nationkey AS BIGINT) AS nation
+        FROM customer WHERE c_custkey % 4 <> 3 OR (c_custkey % 53 <> 7 AND (c_custkey % 59 <> 31 OR (c_custkey - 4 * {FILES}) % 53 = 7))""",
+    "ingest_json_log": f"""
+        SELECT layout, part, count(*) FILTER (WHERE good) AS rows_loaded,
+          count(*) FILTER (WHERE NOT good) + CASE WHEN layout = 'broken' THEN 1 ELSE 0 END AS rows_rejected, 'SUCCESS' AS load_status
+        FROM (SELECT ['lines', 'array', 'joined', 'broken'][c_custkey % 4 + 1] AS layout, c_custkey // 4 % {FILES} AS part,
+            c_custkey % 4 <> 3 OR (c_custkey % 53 <> 7 AND (c_custkey % 59 <> 31 OR (c_custkey - 4 * {FILES}) % 53 = 7)) AS good FROM customer)
+        GROUP BY layout, part""",
 }
 
 

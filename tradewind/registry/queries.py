@@ -16,6 +16,7 @@ from tradewind.operators import upsert as merging
 from tradewind.operators.joins import HotKeys
 from tradewind.plans import checks, intermediate, marts, staging
 from tradewind.registry import shapes
+from tradewind.registry.landings import ingest_csv_drift, ingest_csv_orders, ingest_json_layouts, ingest_json_log  # noqa: F401
 from tradewind.registry.shapes import AS_OF, AS_OF_TS, table
 from tradewind.session import cut_lineage, ensure_checkpoint_dir, side_by_side
 from tradewind.sources import seeds
@@ -630,7 +631,7 @@ dq_suite dq_not_null dq_unique dq_accepted_values dq_between dq_relationships dq
 dq_row_count dq_date_anomaly dq_duplicate_keys dq_orphan_orders dq_revenue_reconciliation
 dq_freshness mask_by_role masked_customers row_access safe_customer_view latest_file_status
 files_pending_retry new_files_anti_join schema_registry_merge schema_drift_report task_run_seconds
-stream_dedup_upsert
+stream_dedup_upsert ingest_csv_orders ingest_csv_drift ingest_json_layouts ingest_json_log
 """.split()
 
 

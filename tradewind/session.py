@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -50,6 +51,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read from there, whole or by column."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    held = spark.read.schema(df.schema).parquet(path)
+    held.staged_at = path
+    return held
+
+
+def unstage(spark: SparkSession, *paths: str) -> None:
+    """Delete what :func:`stage` wrote; nothing may read it later."""
+    context = spark.sparkContext
+    for name in paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def side_by_side(spark: SparkSession, work: Callable, items: list) -> list:
     """``work`` on every item from a thread of its own, so independent jobs share the cluster."""
     with ThreadPoolExecutor(max_workers=max(len(items), 1)) as pool:

@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tradewind.functions.audit import load_audit
+from tradewind.functions.casts import quoted
 from tradewind.operators.control import latest_file_status, merge_registry, new_files
 from tradewind.session import side_by_side
 from tradewind.sources.landing import (
-    FILE, UNREADABLE, EntitySource, Layout, compare_columns, list_files, look_at, rows_of,
+    FILE, UNREADABLE, EntitySource, Layout, compare_columns, forget, list_files, look_at, rows_of,
 )
 from tradewind.sources.tables import StoredTable
 
@@ -252,7 +253,8 @@ class RawZone:
         listed = self.spark.createDataFrame(files)
         self._log_files(listed, source.name, "IN_PROGRESS", run_id, started)
         self._load(source, files, run_id, started, result)
-        self._looked_at.pop(source, None)
+        for layout in self._looked_at.pop(source, {}).values():
+            forget(self.spark, layout)
         if result["errors"]:
             result["status"] = "PARTIAL_FAILURE"
         return result
@@ -308,7 +310,7 @@ class RawZone:
             if name not in rows.columns:
                 columns.append(F.lit(None).cast(field.dataType).alias(field.name))
                 continue
-            raw = F.col(f"`{name}`")
+            raw = F.col(quoted(name))
             if isinstance(field.dataType, T.VariantType):
                 given = isinstance(rows.schema[name].dataType, T.VariantType)
                 value = raw if given else F.parse_json(F.to_json(raw))

@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.functions.casts import null_tokens
+from tradewind.functions.casts import null_tokens, quoted
+from tradewind.session import stage, unstage
+from tradewind.sources.framing import FILE, csv_records, depths, json_records, lines_of, opens_quotes
 
-FILE = "_file"
 PAYLOAD = "raw_payload"
 #: True for what was landed where a JSON object should be; its payload holds the text.
 UNREADABLE = "_unreadable"
@@ -58,20 +59,27 @@ CSV, JSON, PARQUET = "csv", "json", "parquet"
 class Layout:
     """What one look at a set of files found out; rows are then read in a single pass.
 
-    ``groups`` holds (header, files, whether records span lines) for CSV, ("lines" or "whole", files) for
-    JSON. ``keys`` are the top-level keys of JSON objects.
+    ``groups`` holds (header, files, where their records are staged if these span lines) for CSV. JSON payloads are staged
+    at ``staged`` and have the top-level ``keys``. :func:`forget` removes what is staged.
     """
 
     file_format: str
     paths: dict[str, str]
     groups: tuple = ()
     keys: tuple = ()
+    staged: str | None = None
+
+
+def forget(spark: SparkSession, layout: Layout) -> None:
+    unstage(spark, *[at for at in (layout.staged, *[g[2] for g in layout.groups]) if at])
 
 
 def look_at(spark: SparkSession, file_format: str, paths: dict[str, str]) -> Layout:
     """Layout of landed files; ``paths`` maps the reported path of a file to the path to load."""
     if file_format == CSV:
-        return Layout(CSV, paths, tuple(_csv_headers(spark, list(paths.values()))))
+        found = _csv_headers(spark, list(paths.values()))
+        framed = lambda files: csv_records(lines_of(spark, [paths[f] for f in files])).staged_at
+        return Layout(CSV, paths, tuple((header, files, framed(files) if spans else None) for header, files, spans in found))
     if file_format == JSON:
         return _json_layout(spark, paths)
     if file_format == PARQUET:
@@ -94,24 +102,20 @@ def scan(spark: SparkSession, file_format: str, paths: dict[str, str]) -> DataFr
 def _csv_headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, tuple[str, ...], bool]]:
     """Files by header line and layout, found by one scan that keeps one line per file.
 
-    The header is the first line that is not blank. Where a line has an odd number of quotes, a quoted
-    field goes on in the next line, and the file cannot be split. Repeated names raise an error.
+    The header is the first line that is not blank. Where a quoted field opens in a line and doesn't end there, records
+    may span lines and are framed over the lines of all splits. Repeated names, or none, raise an error.
     """
-    lines = spark.read.text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias(FILE),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("at"),
-    )
-    head = F.min_by("value", F.when((F.col("start") == 0) & (F.trim(F.replace("value", F.lit("\ufeff"), F.lit(""))) != ""), F.col("at")))
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    first = lines.groupBy(FILE).agg(head.alias("header"), F.bool_or(quotes % 2 == 1).alias("spans"))
+    lines = lines_of(spark, paths)
+    head = F.min_by("value", F.when((F.col("start") == 0) & F.col("value").rlike(r"\S"), F.col("at")))
+    first = lines.groupBy(FILE).agg(head.alias("header"), F.bool_or(opens_quotes(F.col("value"))).alias("spans"))
     groups = defaultdict(list)
     for row in first.filter("header is not null").collect():
-        groups[row["header"].lstrip("\ufeff"), row["spans"]].append(row[FILE])
+        groups[row["header"], row["spans"]].append(row[FILE])
     found = [(header, tuple(sorted(files)), spans) for (header, spans), files in sorted(groups.items())]
     for header, files, _ in found:
         names = [n for n in _names(header) if n]
+        if not names:
+            raise ValueError(f"no column has a name in the header of {', '.join(files)}")
         if len(set(names)) < len(names):
             raise ValueError(f"a column name stands twice in the header of {', '.join(files)}: {header}")
     if not found:
@@ -123,30 +127,35 @@ def _names(header: str) -> list[str]:
     return [n.strip().lower() for n in next(csv.reader([header]))]
 
 
-def _read_csv(spark: SparkSession, header: str, paths: list[str], spans: bool) -> DataFrame:
+def _read_csv(spark: SparkSession, header: str, paths: list[str], staged: str | None) -> DataFrame:
     names = _names(header)
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-    rows = spark.read.schema(schema).csv(
-        paths, header=True, sep=",", quote='"', escape='"', mode="PERMISSIVE", enforceSchema=True, multiLine=spans,
-        ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True,
-    )
+    options = {
+        "sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
+    }
     columns = [null_tokens(f"c{i}").alias(n) for i, n in enumerate(names) if n]
-    return _with_file(rows).select(*columns, FILE)
+    if not staged:
+        rows = _with_file(spark.read.schema(schema).csv(paths, header=True, enforceSchema=True, **options))
+        return rows.select(*columns, F.lit(False).alias(UNREADABLE), FILE)
+    records = spark.read.parquet(staged).filter(~F.col("head") & F.col("text").rlike(r"\S"))
+    parsed = F.when(~F.col("broken"), F.from_csv("text", schema.simpleString()[len("struct<"):-1].replace(":", " "), options))
+    return records.select(parsed.alias("row"), F.col("broken").alias(UNREADABLE), FILE).select("row.*", UNREADABLE, FILE).select(*columns, UNREADABLE, FILE)
 
 
 def _csv_rows(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Trimmed text columns by name, whatever header a file has; short and long rows are accepted."""
-    parts = [_read_csv(spark, h, [layout.paths[f] for f in files], spans) for h, files, spans in layout.groups]
+    """Trimmed text columns by name, whatever header a file has; short and long rows are accepted.
+
+    A record whose quoted field never ends is one unreadable row.
+    """
+    parts = [_read_csv(spark, h, [layout.paths[f] for f in files], staged) for h, files, staged in layout.groups]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 # --- json ---------------------------------------------------------------------------------------
 
-def _elements(text: Column, strict: bool) -> Column:
-    """Every value in a text of values between commas, those of arrays one by one; null (or an error, if
-    ``strict``) where anything else stands in it, so no value is passed over."""
-    wrapped = F.concat(F.lit("["), text, F.lit("]"))
-    parsed = F.parse_json(wrapped) if strict else F.try_parse_json(wrapped)
+def _elements(text: Column) -> Column:
+    """Every value in a text of values between commas, those of arrays one by one; null where anything else stands in it."""
+    parsed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     values = F.try_variant_get(parsed, "$", "array<variant>")
     return F.flatten(F.transform(values, lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))))
 
@@ -163,77 +172,88 @@ def _as_payloads(found: DataFrame) -> DataFrame:
     return rows.select(F.when(bad, kept).otherwise(F.col("value")).alias("payload"), bad.alias(UNREADABLE), FILE)
 
 
+def _trimmed(text: Column) -> Column:
+    return F.regexp_replace(text, r"^[\s,]+|[\s,]+$", "")
+
+
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Lines that hold more than the brackets and commas of an array around them."""
-    lines = spark.read.text(paths).select(
-        F.regexp_replace(F.trim(F.replace("value", F.lit("\ufeff"), F.lit(""))), r"^,\s*|\s*,$", "").alias("text"),
-        F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("at"),
-    )
+    lines = lines_of(spark, paths).select(_trimmed(F.col("value")).alias("text"), FILE)
     return lines.filter(~F.col("text").isin("", "[", "]"))
 
 
 def _line_values(text: Column) -> Column:
-    """The values of a line, which may be the first or last one of an array that goes on over other lines."""
+    """The values of a text, which may be the first or last one of an array that goes on over other lines."""
     opened = F.regexp_replace(text, r"^\[\s*(?=\{)", "")
     closed = F.regexp_replace(text, r"(?<=\})\s*\]$", "")
-    return F.coalesce(_elements(text, False), _elements(opened, False), _elements(closed, False))
+    return F.coalesce(_elements(text), _elements(opened), _elements(closed))
 
 
 def _line_payloads(spark: SparkSession, paths: list[str]) -> DataFrame:
     return _as_payloads(_lines(spark, paths).select(_line_values(F.col("text")).alias("values"), "text", FILE))
 
 
-def _whole_payloads(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Files of one array or object; one with anything more raises an error when it is read."""
-    texts = _with_file(spark.read.text(paths, wholetext=True))
-    texts = texts.select(F.replace("value", F.lit("\ufeff"), F.lit("")).alias("text"), FILE).filter(F.trim("text") != "")
-    return _as_payloads(texts.select(_elements(F.col("text"), True).alias("values"), "text", FILE))
+def _framed_payloads(records: DataFrame) -> DataFrame:
+    """Values that span lines. Of a text that is none, the lines that are objects count, and all others together as one."""
+    records = records.select(_trimmed(F.col("text")).alias("text"), "lines", FILE)
+    values = _line_values(F.col("text"))
+    none = F.array(F.lit(None).cast("variant"))
 
+    def objects(line: Column) -> Column:
+        found = _line_values(_trimmed(line))
+        return F.when(F.forall(found, _is_object), found).otherwise(F.array().cast("array<variant>"))
 
-def _keys(payloads: DataFrame) -> DataFrame:
-    readable = payloads.filter(f"not {UNREADABLE}")
-    return readable.select(F.explode(F.json_object_keys(F.to_json("payload"))).alias("key")).distinct()
+    rescued = F.flatten(F.transform("lines", lambda line: F.coalesce(objects(line), F.array().cast("array<variant>"))))
+    return _as_payloads(records.select(F.coalesce(values, F.concat(rescued, none)).alias("values"), "text", FILE))
 
 
 def _json_layout(spark: SparkSession, paths: dict[str, str]) -> Layout:
-    """A file whose first line holds whole objects is read line by line, so big ones split over tasks, and a
-    line that cannot be read is one rejected row; files laid out otherwise are read whole."""
-    begins = _lines(spark, list(paths.values())).filter("start = 0").groupBy(FILE).agg(F.min_by("text", "at").alias("text"))
-    values = _line_values(F.col("text"))
-    whole_first = F.coalesce(F.size(values) > 0, F.lit(False)) & F.coalesce(F.forall(values, _is_object), F.lit(False))
-    told = {r[FILE]: r["ok"] for r in begins.select(FILE, whole_first.alias("ok")).collect()}
+    """Files whose every line closes what it opens are read line by line, others by records framed over lines.
+
+    Either way a file is split over tasks, and what cannot be read is a rejected row. A file without any
+    object raises an error.
+    """
+    shape = depths(F.col("text"))
+    own = (shape["rise"] == 0) & (shape["dip"] == 0)
+    told = {r[FILE]: r["own"] for r in _lines(spark, list(paths.values())).groupBy(FILE).agg(F.bool_and(own).alias("own")).collect()}
     lines = tuple(f for f in paths if told.get(f))
-    whole = tuple(f for f in paths if f in told and not told[f])
-    groups = tuple((kind, files) for kind, files in (("lines", lines), ("whole", whole)) if files)
-    if not groups:
+    framed = tuple(f for f in paths if f in told and not told[f])
+    parts = [_line_payloads(spark, [paths[f] for f in lines])] if lines else []
+    if framed:
+        records = json_records(lines_of(spark, [paths[f] for f in framed]))
+        parts.append(_framed_payloads(records))
+    if not parts:
         raise ValueError("no columns inferred: no objects found")
-    payloads = json_payloads(spark, Layout(JSON, paths, groups))
-    keys = {r["key"] for r in _keys(payloads).collect()}
+    held = stage(reduce(DataFrame.unionByName, parts), "payloads")
+    if framed:
+        unstage(spark, records.staged_at)
+    payloads = held.select(
+        F.explode_outer(F.when(~F.col(UNREADABLE), F.json_object_keys(F.to_json("payload")))).alias("key"), F.col(UNREADABLE).alias("bad"), FILE
+    )
+    found = payloads.groupBy(FILE).agg(F.collect_set("key").alias("keys"), F.bool_and("bad").alias("bad")).collect()
+    for row in found:
+        if row["bad"]:
+            unstage(spark, held.staged_at)
+            raise ValueError(f"no object can be read from {row[FILE]}")
+    keys = {key for row in found for key in row["keys"]}
     if not keys:
         raise ValueError("no columns inferred: no objects found")
-    return Layout(JSON, paths, groups, tuple(sorted(keys)))
+    return Layout(JSON, paths, (), tuple(sorted(keys)), held.staged_at)
 
 
 def json_payloads(spark: SparkSession, layout: Layout) -> DataFrame:
     """One variant per JSON object, and one per text that should have been one."""
-    read = {"lines": _line_payloads, "whole": _whole_payloads}
-    parts = [read[kind](spark, [layout.paths[f] for f in files]) for kind, files in layout.groups]
-    return reduce(DataFrame.unionByName, parts)
+    return spark.read.schema(f"payload variant, {UNREADABLE} boolean, {FILE} string").parquet(layout.staged)
 
 
 def _json_rows(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Text columns per top-level key, next to the whole payload; keys that differ in case are one column."""
+    """Text columns per top-level key, whatever characters it has, next to the whole payload; keys that differ in case are one column."""
     spellings = defaultdict(list)
     for key in layout.keys:
         spellings[key.lower()].append(key)
-
-    def value(key: str) -> Column:
-        path = "$['" + key.replace("'", "\\'") + "']"
-        return F.when(~F.col(UNREADABLE), F.try_variant_get("payload", path, "string"))
-
-    rows = json_payloads(spark, layout)
-    columns = [F.coalesce(*map(value, keys)).alias(name) for name, keys in sorted(spellings.items())]
+    texts = F.when(~F.col(UNREADABLE), F.from_json(F.to_json("payload"), "map<string,string>"))
+    rows = json_payloads(spark, layout).withColumn("_texts", texts)
+    columns = [F.coalesce(*[F.try_element_at("_texts", F.lit(k)) for k in keys]).alias(name) for name, keys in sorted(spellings.items())]
     return rows.select(*columns, F.col("payload").alias(PAYLOAD), UNREADABLE, FILE)
 
 
@@ -244,7 +264,7 @@ def _parquet_rows(spark: SparkSession, layout: Layout) -> DataFrame:
     """The union of the files' schemas."""
     rows = spark.read.option("mergeSchema", True).parquet(*layout.paths.values())
     names = rows.columns
-    return _with_file(rows).select(*[F.col(f"`{n}`").alias(n.lower()) for n in names], FILE)
+    return _with_file(rows).select(*[F.col(quoted(n)).alias(n.lower()) for n in names], FILE)
 
 
 # --- types --------------------------------------------------------------------------------------
@@ -292,12 +312,12 @@ def compare_columns(rows: DataFrame, held: list[T.StructField]) -> Columns:
     ]
     measures = []
     for i, name in enumerate(texts):
-        column = F.col(f"`{name}`")
+        column = F.col(quoted(name))
         measures.append(F.count(column).alias(f"n{i}"))
         for j, datatype in enumerate(TEXT_TYPES):
             measures.append(F.count_if(column.isNotNull() & ~_fits(column, datatype)).alias(f"n{i}_{j}"))
     for i, field in enumerate(typed):
-        column = F.col(f"`{field.name.lower()}`")
+        column = F.col(quoted(field.name.lower()))
         measures.append(F.count(column).alias(f"held{i}"))
         measures.append(F.count(column.try_cast(field.dataType)).alias(f"fit{i}"))
     found = rows.agg(*measures).first() if measures else None

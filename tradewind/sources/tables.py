@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tradewind.operators.dedup import refuse_duplicates
 from tradewind.operators.upsert import upsert, upsert_if_newer
+from tradewind.functions.casts import quoted
 from tradewind.session import cut_lineage
 
 WHOLE = "whole"
@@ -104,7 +105,7 @@ class StoredTable:
             return self.spark.createDataFrame([], schema)
         # Older directories may lack newer columns: the stored schema reads those as null.
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/data")
-        return reader.parquet(*[f"{self.root}/data/{p}" for p in paths]).select(*schema.fieldNames())
+        return reader.parquet(*[f"{self.root}/data/{p}" for p in paths]).select(*map(quoted, schema.fieldNames()))
 
     def as_view(self, name: str) -> None:
         self.read().createOrReplaceTempView(name)
@@ -191,10 +192,10 @@ class StoredTable:
         if schema is None:
             return df
         held = [
-            F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            F.col(quoted(f.name)) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
             for f in schema.fields
         ]
-        return df.select(*held, *[c for c in df.columns if c not in schema.fieldNames()])
+        return df.select(*held, *[quoted(c) for c in df.columns if c not in schema.fieldNames()])
 
     def upsert(
         self, delta: DataFrame, key: str, version: str | None = None, batch_id: str | None = None
