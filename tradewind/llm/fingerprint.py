@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import discard, stored
+from tradewind.llm.common import stored
 
 #: Counters, two to a sum of longs; each is a lane modulo 2 ** 16 of the fingerprint.
 LANES = 64
@@ -91,27 +91,49 @@ def successors(docs: DataFrame) -> DataFrame:
     return stored(follow.select("doc_id", F.coalesce("within", "after_part").alias("next_id"), "longest"), "next")
 
 
-def with_edits(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, next_id, n_chars, edited``: the last quarter replaced by the head of the next document.
+def with_edits(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``doc_id`` and rows without, as ``doc_id, text, next_id, n_chars, edited``: the last quarter replaced by the
+    head of the next document.
 
     A document that shares its ``doc_id`` with others is followed by the next larger ``doc_id``; of the
     texts there the first in byte order counts. Without ``doc_id`` the last quarter is cut off.
+
+    Texts are dealt by ``doc_id`` once: the heads are taken from that exchange and join it, so only heads, no more
+    than a quarter of the texts, move again. What has a ``doc_id`` stays dealt by it.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    known = rows.filter("doc_id is not null")
+    known = rows.filter("doc_id is not null").repartition("doc_id")
     order = successors(rows)
-    sent = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("before_id"), F.floor(F.col("longest") / 4).cast("int").alias("size"))
-    heads = known.join(sent, "doc_id").groupBy(F.col("before_id").alias("doc_id")).agg(F.min(F.left("text", F.col("size"))).alias("head"))
-    heads = stored(heads, "heads")  # so that the shuffle of the texts goes before they are dealt once more
+    sent = order.select(F.col("next_id").alias("of"), F.col("doc_id").alias("before_id"), F.floor(F.col("longest") / 4).cast("int").alias("size"))
+    heads = known.join(sent, known["doc_id"] == sent["of"]).groupBy("before_id").agg(F.min(F.left("text", F.col("size"))).alias("head"))
+    follow = order.select(F.col("doc_id").alias("own_id"), "next_id")
+    joined = known.join(heads, known["doc_id"] == heads["before_id"], "left").join(follow, F.col("doc_id") == F.col("own_id"))
+    alone = rows.filter("doc_id is null").withColumns({"next_id": F.lit(None).cast("long"), "head": F.lit(None).cast("string")})
+    return edited(joined), edited(alone)
+
+
+def edited(rows: DataFrame) -> DataFrame:
+    """``doc_id, text, next_id, n_chars, edited`` from rows with ``head``."""
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
-    edited = F.concat(F.left("text", n - quarter), F.left(F.coalesce("head", F.lit("")), quarter))
-    joined = known.join(order.select("doc_id", "next_id"), "doc_id").join(heads, "doc_id", "left")
-    columns = ["doc_id", "text", "next_id", "head"]
-    alone = rows.filter("doc_id is null").withColumns({"next_id": F.lit(None).cast("long"), "head": F.lit(None).cast("string")})
-    return joined.select(*columns).unionByName(alone.select(*columns)).select(
-        "doc_id", "text", "next_id", n.cast("long").alias("n_chars"), edited.alias("edited")
-    )
+    text = F.concat(F.left("text", n - quarter), F.left(F.coalesce("head", F.lit("")), quarter))
+    return rows.select("doc_id", "text", "next_id", n.cast("long").alias("n_chars"), text.alias("edited"))
+
+
+def both_vectors(rows: DataFrame) -> DataFrame:
+    """``doc_id, next_id, n_chars, edited_sha256, own, edit``: the vectors of the texts of :func:`edited` rows.
+
+    Rows that are dealt by ``doc_id`` stay so: their features are summed where they are.
+    """
+    both = rows.withColumn("row", F.monotonically_increasing_id()).select(
+        "doc_id", "row", "next_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        F.explode(F.array(F.struct(F.lit(False).alias("is_edit"), "text"), F.struct(F.lit(True).alias("is_edit"), F.col("edited").alias("text")))).alias("one"),
+    ).select("*", "one.is_edit", "one.text").drop("one")
+    keys = ["doc_id", "row", "next_id", "n_chars", "edited_sha256"]
+    found = vectors(both, "text", [*keys, "is_edit"])
+    return found.groupBy(*keys).agg(
+        F.max(F.when(~F.col("is_edit"), F.col("vector"))).alias("own"), F.max(F.when(F.col("is_edit"), F.col("vector"))).alias("edit")
+    ).drop("row")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -121,21 +143,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     two empty texts have likeness 1. The next document is that of :func:`with_edits`; a row without one
     has ``near_next`` 0. An empty table gives no rows.
     """
-    rows = with_edits(docs).withColumn("row", F.monotonically_increasing_id())
-    both = rows.select(
-        "row", "doc_id", "next_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        F.explode(F.array(F.struct(F.lit(False).alias("is_edit"), "text"), F.struct(F.lit(True).alias("is_edit"), F.col("edited").alias("text")))).alias("one"),
-    ).select("*", "one.is_edit", "one.text").drop("one")
-    keys = ["row", "doc_id", "next_id", "n_chars", "edited_sha256"]
-    found = stored(vectors(both, "text", [*keys, "is_edit"]), "sums")
-    held = found.groupBy(*keys).agg(
-        F.max(F.when(~F.col("is_edit"), F.col("vector"))).alias("own"), F.max(F.when(F.col("is_edit"), F.col("vector"))).alias("edit")
-    )
-    held = stored(held, "vectors")
-    discard(found)
+    dealt, alone = with_edits(docs)
+    held = stored(both_vectors(dealt).unionByName(both_vectors(alone)), "vectors")
     following = held.filter("doc_id is not null").groupBy(F.col("doc_id").alias("next_id")).agg(F.min("own").alias("next_own"))
-    return held.join(following, "next_id", "left").select(
-        "doc_id", "n_chars", "edited_sha256", text_of(F.col("own")).alias("fingerprint"),
-        text_of(F.col("edit")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("edit")).alias("near_edited"),
+    told = held.select(
+        "doc_id", "next_id", "n_chars", "edited_sha256", "own", text_of(F.col("edit")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("edit")).alias("near_edited")
+    )
+    return told.join(following, "next_id", "left").select(
+        "doc_id", "n_chars", "edited_sha256", text_of(F.col("own")).alias("fingerprint"), "edited_fingerprint", "near_edited",
         F.coalesce(likeness(F.col("own"), F.col("next_own")), F.lit(0.0)).alias("near_next"),
     )
