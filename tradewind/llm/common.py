@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one NumPy step inside a task works on.
 STEP_BYTES = 4 << 20
+#: Bytes of an Arrow batch on its way to a Python worker; rows alone don't bound it.
+BATCH_BYTES = 16 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -63,7 +65,7 @@ def discard(*tables: DataFrame) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's modules to the executors, once a session, so that they need not be installed there."""
+    """Send this package's modules to the executors, so that they need not be installed there, and bound Arrow batches; once a session."""
     context = spark.sparkContext
     if not getattr(context, "_tradewind_sent", False):
         package = Path(__file__).resolve().parent.parent
@@ -72,6 +74,7 @@ def ship(spark: SparkSession) -> None:
             for source in sorted(package.rglob("*.py")):
                 out.write(source, source.relative_to(package.parent))
         context.addPyFile(str(archive))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
         context._tradewind_sent = True
 
 
@@ -80,15 +83,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in pieces of about ``STEP_BYTES`` of text; a row is never cut."""
+def steps(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in pieces of about ``size`` bytes of text; a row is never cut."""
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
         ends = np.cumsum(np.asarray(lengths(texts)))
         first = 0
         while first < batch.num_rows:
             base = ends[first - 1] if first else 0
-            last = max(int(np.searchsorted(ends, base + STEP_BYTES, "right")), first + 1)
+            last = max(int(np.searchsorted(ends, base + size, "right")), first + 1)
             yield batch.slice(first, last - first)
             first = last
 

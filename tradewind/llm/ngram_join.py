@@ -2,10 +2,10 @@
 
 A document is its set of word shingles. Under one order of all shingles, common ones last, two sets that
 are similar enough share a shingle of their prefixes. Equal sets become one node, and nodes of the same
-prefix and size one group; groups that share a prefix shingle and fit in size are candidates, and their
-members are verified on whole sets. Links are only needed to find the components, so each list of
-candidates is first linked to one of its members, and what then still lies in different components is
-compared in full. Sketches of parities rule out most candidates before any whole set is fetched.
+prefix and size one group; pairs of groups that share a prefix shingle are filtered by size and by the places of
+that shingle, then expanded, and their members are verified on whole sets. Links are only needed to find the
+components, so the groups of a shingle are first paired with one of them. Members that then still lie in different
+components are compared by sketches of parities inside tasks, in blocks, and only what these leave is verified.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,11 +26,15 @@ from tradewind.llm.words import FOLDED, grams, hashed_words, mixed
 
 #: Shingles whose frequency decides their place in the order; it moves work, not results.
 MAX_COMMON = 1 << 18
-#: Documents of one step of a task that make a shingle count as common.
-COMMON_IN_STEP = 3
+#: Different sets of one task that make a shingle count as common, and counts a task holds before it drops the lowest.
+COMMON_IN_TASK, HELD = 4, 1 << 21
+#: Bytes of text of one step; a step's arrays are some hundred times as large.
+STEP = 1 << 20
 SETS = "tag long, n long, s1 long, s2 long"
 #: Words of 64 bits in a sketch: the parity of the shingles hashed to each bit.
 SKETCH = [f"p{i}" for i in range(32)]
+#: Those of them that are compared inside tasks, and members of a block there.
+SHORT, BLOCK = SKETCH[:8], 4096
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,10 +78,34 @@ def common_shingles(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]
     """The most common shingles, sorted, with counts; at most ``MAX_COMMON``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
-            shingles, n = np.unique(shingle_sets(batch, size)[0], return_counts=True)
-            often = n >= COMMON_IN_STEP
-            yield pa.RecordBatch.from_arrays([pa.array(shingles[often].view(np.int64)), pa.array(n[often])], names=["token", "n"])
+        tokens, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        pending: list[np.ndarray] = []
+        told: set[tuple[int, int]] = set()
+
+        def merge() -> None:
+            nonlocal tokens, counts
+            shingles, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *pending]), return_counts=True)
+            pending.clear()
+            tokens, place = np.unique(np.concatenate([tokens, shingles]), return_inverse=True)
+            counts = np.bincount(place, np.concatenate([counts, n]), len(tokens)).astype(np.int64)
+            floor = 0
+            while len(tokens) > HELD:
+                floor += 1
+                tokens, counts = tokens[counts > floor], counts[counts > floor]
+
+        for batch in steps(batches, size=STEP):
+            sets, ends = shingle_sets(batch, size)
+            _, s1, s2 = signatures(sets, ends)
+            new = np.zeros(len(s1), bool)
+            for i, key in enumerate(zip(s1.tolist(), s2.tolist(), strict=True)):
+                new[i] = key not in told
+                told.add(key)
+            pending.append(sets[np.repeat(new, np.diff(ends))])
+            if sum(map(len, pending)) > HELD:
+                merge()
+        merge()
+        often = counts >= COMMON_IN_TASK
+        yield pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(counts[often])], names=["token", "n"])
 
     counted = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "token").limit(MAX_COMMON).toArrow()
@@ -85,13 +114,12 @@ def common_shingles(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]
     return tokens[order], top.column("n").to_numpy()[order]
 
 
-def prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per row: signature, group and prefix; the prefix is null where this step has told it already."""
-    sent = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, size))
+def prefixes(docs: DataFrame, sent: Broadcast, size: int, percent: int) -> DataFrame:
+    """Per row: signature, group and prefix; the prefix is null where this step has told it already. ``sent`` holds the common shingles."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, counts = sent.value
-        for batch in steps(batches):
+        for batch in steps(batches, size=STEP):
             sets, ends = shingle_sets(batch, size)
             n, s1, s2 = signatures(sets, ends)
             bits = sketches(sets, ends)
@@ -123,12 +151,11 @@ def prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.mapInArrow(cut, f"doc_id long, {SETS}, grp long, prefix array<long>, {parity}")
 
 
-def whole_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """``node, shingles`` of ``nodes`` (node, tag, n, s1, s2), from the texts once more."""
-    sent = bitmap(nodes, "tag")
+def whole_sets(docs: DataFrame, nodes: DataFrame, sent: Broadcast, size: int) -> DataFrame:
+    """``node, shingles`` of ``nodes`` (node, tag, n, s1, s2), from the texts once more; ``sent`` is a bitmap of their tags."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
+        for batch in steps(batches, size=STEP):
             batch = batch.filter(pa.array(held(sent.value, batch.column(2).to_numpy())))
             if not batch.num_rows:
                 continue
@@ -167,6 +194,74 @@ def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.filter((100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
+def apart_in_lists(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of members of a list that lie in different components and whose short sketches allow the similarity.
+
+    ``lists`` has ``token, node, n, place, root``. Members outside of a list's largest component are compared with all of the list, in
+    blocks of bounded size that are dealt over tasks; only pairs that pass leave a task.
+    """
+    sizes = lists.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m"))
+    parts = stored(sizes.groupBy("token").agg(
+        F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("most"), F.sum("m").alias("members"), F.count(F.lit(1)).alias("parts")
+    ).filter("parts > 1").select(
+        F.col("token").alias("of"), "main", F.ceil(F.col("members") / BLOCK).cast("int").alias("wide"),
+        F.ceil((F.col("members") - F.col("most")) / BLOCK).cast("int").alias("high"),
+    ), "parts")
+    sketch = nodes.select(F.col("node").alias("own"), *SHORT)
+    mixed_lists = lists.join(parts, F.col("token") == F.col("of")).join(sketch, F.col("node") == F.col("own"))
+    few = F.col("root") != F.col("main")
+    row, column = F.pmod("node", "high").cast("int"), F.pmod("node", "wide").cast("int")
+    ranges = lambda n: F.sequence(F.lit(0), n - 1)
+    every = F.transform(ranges(F.col("high")), lambda i: F.struct(i.alias("i"), column.alias("j"), F.lit(False).alias("few")))
+    some = F.when(few, F.transform(ranges(F.col("wide")), lambda j: F.struct(row.alias("i"), j.alias("j"), F.lit(True).alias("few"))))
+    dealt = mixed_lists.select("token", "node", "n", "place", "root", *SHORT, F.explode(F.concat(every, F.coalesce(some, F.array().cast(
+        "array<struct<i:int,j:int,few:boolean>>")))).alias("at")).select("token", "at.i", "at.j", (~F.col("at.few")).alias("other"), "node", "n", "place", "root", *SHORT)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, few_rows = None, np.zeros((0, 4 + len(SHORT)), np.int64)
+        for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)], axis=1)
+            other = batch.column(3).to_numpy(zero_copy_only=False)
+            values = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(4, batch.num_columns)], axis=1)
+            starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
+            for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
+                if key is None or (keys[first] != key).any():
+                    key, few_rows = keys[first], few_rows[:0]
+                block, late = values[first:last], other[first:last]
+                few_rows = np.concatenate([few_rows, block[~late]])
+                block = block[late]
+                if not len(block):
+                    continue
+                found = [plausible_rows(one, block, percent) for one in few_rows]
+                a = np.repeat(few_rows[:, 0], [len(f) for f in found])
+                b = np.concatenate([np.zeros(0, np.int64), *[block[f, 0] for f in found]])
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    grouped = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "other")
+    found = stored(grouped.mapInArrow(compare, "a long, b long").distinct(), "rest")
+    discard(parts)
+    return found
+
+
+def plausible_rows(one: np.ndarray, block: np.ndarray, percent: int) -> np.ndarray:
+    """Rows (node, n, place, root, sketch words) of another component that may be similar to ``one``.
+
+    Sizes, places of the shared shingle (what both sets have after it bounds what they share, where it is the first one shared) and sketches
+    are exact bounds.
+    """
+    n, place = block[:, 1], block[:, 2]
+    least, most = np.minimum(n, one[1]), np.maximum(n, one[1])
+    both = n + one[1]
+    left = np.minimum(n - place, one[1] - one[2])
+    rows = np.flatnonzero((block[:, 3] != one[3]) & (100 * least >= percent * most) & ((100 + percent) * left >= percent * both))
+    apart = np.zeros(len(rows), np.int64)
+    for word in range(4, block.shape[1]):
+        apart += np.bitwise_count(block[rows, word] ^ one[word])
+        kept = (100 + percent) * apart <= (100 - percent) * both[rows]
+        rows, apart = rows[kept], apart[kept]
+    return rows
+
+
 def fits(a: str, b: str, percent: int) -> Column:
     """Sizes close enough for similarity."""
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
@@ -187,7 +282,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("tag")
     )
-    table = stored(prefixes(rows, size, percent), "prefixes")
+    sent = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, size))
+    table = stored(prefixes(rows, sent, size, percent), "prefixes")
+    sent.destroy()
     key = ["n", "s1", "s2"]
     nodes = stored(
         table.filter("n > 0").groupBy(*key).agg(
@@ -208,15 +305,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             lists = batch.column(1)
             tokens = lists.flatten().to_numpy()
             rows_of = pc.list_parent_indices(lists)
+            sizes = np.asarray(pc.list_value_length(lists))
+            place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             some = held(sent.value, tokens)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows_of.filter(pa.array(some))), pa.array(tokens[some])], names=["grp", "token"])
-
-    postings = table.filter("prefix is not null").select("grp", "prefix").mapInArrow(near, "grp long, token long").distinct()
-    # Groups of nodes; a group of several nodes is a list of candidates of its own.
-    several = nodes.groupBy("grp").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("grp", F.col("grp").alias("token"))
-    members = nodes.select("node", "grp", "n")
-    exact = postings.join(shared, "token").select("grp", "token").union(several)
-    lists = stored(exact.join(members, "grp").select("token", "node", "n"), "lists")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows_of.filter(pa.array(some))), pa.array(tokens[some]), pa.array(place[some].astype(np.int32))], names=["grp", "token", "place"]
+            )
+
+    postings = table.filter("prefix is not null").select("grp", "prefix").mapInArrow(near, "grp long, token long, place int").distinct()
+    groups = stored(nodes.groupBy("grp").agg(F.min("node").alias("first"), F.min("n").alias("n"), F.count(F.lit(1)).alias("members")), "groups")
+    lists = stored(postings.join(shared, "token").join(groups, "grp").select("token", "grp", "place", "n", "first"), "lists")
     signed = stored(table.select("doc_id", "tag", *key), "signed")
     discard(table, shared)
     sent.destroy()
@@ -224,9 +322,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     def checked(left: DataFrame, label: str) -> DataFrame:
         """The links among pairs, from whole sets."""
         wanted = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        sets = stored(whole_sets(rows, nodes.join(wanted, "node").select("node", "tag", *key), size), "sets")
+        some = stored(nodes.join(wanted, "node").select("node", "tag", *key), "wanted")
+        tags = bitmap(some, "tag")
+        sets = stored(whole_sets(rows, some, tags, size), "sets")
+        tags.destroy()
         links = stored(verify(left, sets, percent), label)
-        discard(sets)
+        discard(sets, some)
         return links
 
     def compared(pairs: DataFrame, label: str) -> DataFrame:
@@ -249,28 +350,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         discard(begun, ended)
         return links
 
-    # One member of each list, the largest node that begins it, against the others.
-    first = stored(lists.groupBy(F.col("token").alias("of")).agg(F.min(F.struct("node", "n")).alias("head")), "heads")
-    stars = lists.join(first, F.col("token") == F.col("of")).filter("node <> head.node").filter(fits("n", "head.n", percent))
-    pairs = stored(stars.select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    # Pairs of groups: the first one of each list and the others that fit, expanded to a member of the one and all of the other.
+    heads = lists.groupBy(F.col("token").alias("of")).agg(F.min(F.struct("first", "n", "place", "grp")).alias("head"))
+    left = F.least(F.col("n") - F.col("place"), F.col("head.n") - F.col("head.place"))
+    stars = lists.join(heads, F.col("token") == F.col("of")).filter("grp <> head.grp").filter(fits("n", "head.n", percent))
+    stars = stars.filter((100 + percent) * left >= percent * (F.col("n") + F.col("head.n")))
+    stars = stars.select(F.col("head.first").alias("a"), "grp").union(groups.filter("members > 1").select(F.col("first").alias("a"), "grp")).distinct()
+    members = nodes.select(F.col("grp").alias("of_grp"), F.col("node").alias("b"))
+    pairs = stored(stars.join(members, F.col("grp") == F.col("of_grp")).filter("a <> b").select("a", "b"), "pairs")
     links = compared(pairs, "links")
     rooted = stored(components(links), "roots")
 
-    # What is still apart within a list: members outside its largest component against all of its members.
-    discard(first)
-    placed = stored(lists.join(rooted, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root")), "placed")
-    discard(lists)
-    sizes = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m"))
-    largest = stored(sizes.groupBy("token").agg(
-        F.max_by("root", F.struct("m", "root")).alias("main"), F.count(F.lit(1)).alias("parts")
-    ).filter("parts > 1").select(F.col("token").alias("of"), "main"), "largest")
-    mixed_lists = stored(placed.join(largest, F.col("token") == F.col("of")).drop("of"), "mixed")
-    discard(placed, largest)
-    few = mixed_lists.filter("root <> main").select(F.col("token").alias("of"), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    apart = mixed_lists.join(few, F.col("token") == F.col("of")).filter("root <> root_b").filter(fits("n", "n_b", percent))
-    rest = apart.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    rest = stored(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
-    discard(mixed_lists)
+    # What is still apart: members of each list, and of each group, that lie in different components.
+    expanded = lists.select("token", "grp", "place").union(groups.filter("members > 1").select(F.col("grp").alias("token"), "grp", F.lit(0).alias("place")))
+    expanded = expanded.join(nodes.select(F.col("grp").alias("of_grp"), "node", "n"), F.col("grp") == F.col("of_grp"))
+    root = rooted.select(F.col("node").alias("named"), "root")
+    placed = stored(expanded.join(root, F.col("node") == F.col("named"), "left").select("token", "node", "n", "place", F.coalesce("root", "node").alias("root")), "placed")
+    discard(lists, groups)
+    apart = apart_in_lists(placed, nodes, percent)
+    rest = stored(apart.join(pairs, ["a", "b"], "left_anti"), "rest")
+    discard(placed, apart, rooted)
     more = compared(rest, "more")
     final = stored(components(links.union(more)), "components")
     discard(pairs, rest, links, more)
