@@ -51,4 +51,5 @@ def awkward():
         (14, "mail a.b@c.de%d@e.fg, 1.2.3.4.5.6.7.8 and 300.1.1.1; +1 (555) 010-2030, 4111 1111 1111 1111; 000.255.1.001"),
         (15, "Licensed under the Apache License. SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0 WITH Classpath-exception-2.0"),
         (16, "cc by  MIT\nlicense gnu general public license gnu general public license"), (17, "1" * 5000 + "." + "+1" * 3000),
+        (18, "a<|endoftext|>b <|endoftext|>\n<|endoftext|"),
     ]

@@ -7,6 +7,7 @@ import random
 import brute
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from tradewind.llm import (
     decontamination, fingerprint, langid, licenses, links, ngram_join, packing, pii, queries, substring_dedup, token_store, toxicity,
@@ -91,9 +92,11 @@ def test_fingerprint_is_homomorphic(spark):
 def test_word_encoder_equals_the_library():
     texts = ["a  b", "  lead", " x ", "tab\tx\n\n y", "it's  we'll \n\nz", "日本語 テキスト　x", "a\r\nb", "", "x\x1cy z", "a\nb c\nd", "\n", "y" * 2000, None]
     for capacity in (3, 10_000):
-        words = encoder(tokenizer_path(), capacity)
-        found = [np.frombuffer(b, "<u4").tolist() for b in words.encode(texts)]
-        assert found == [words.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        fresh = Tokenizer.from_file(tokenizer_path())
+        with encoder(tokenizer_path(), capacity) as words:
+            found = [np.frombuffer(b, "<u4").tolist() for b in words.encode(texts)]
+        assert found == [fresh.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert words.known == ({}, {})
 
 
 def test_perfect_hash_is_minimal():

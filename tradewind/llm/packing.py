@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import steps, stored
-from tradewind.llm.tokens import encoder, tokenizer_path
+from tradewind.llm.tokens import WordEncoder, encoder, tokenizer_path
 
 PIECES = """doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class int, part int,
 local_rank long, ids binary"""
@@ -130,10 +130,13 @@ def encode_pieces(docs: DataFrame, length: int, grain: int, end_id: int, tokeniz
     path = tokenizer or tokenizer_path()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with encoder(path) as words:
+            yield from placed(batches, words)
+
+    def placed(batches: Iterator[pa.RecordBatch], words: WordEncoder) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        words = encoder(path)
         width = "<u2" if words.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         ranks = np.zeros(length // grain + 1, np.int64).tolist()
         end = np.array([end_id], "<u4").tobytes()

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import steps, stored, work_path
-from tradewind.llm.tokens import encoder, tokenizer_path
+from tradewind.llm.tokens import WordEncoder, encoder, tokenizer_path
 
 MAGIC = b"TWIDS\x00\x00\x01"
 #: magic, bytes per id, documents, distinct keys, ids, levels, bits in all levels.
@@ -151,10 +151,13 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str | None = None, end_
     ).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with encoder(path) as words:
+            yield from written(batches, words)
+
+    def written(batches: Iterator[pa.RecordBatch], words: WordEncoder) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        words = encoder(path)
         width = 2 if words.tokenizer.get_vocab_size() <= 1 << 16 else 4
         store, base = open_folder(folder)
         store.create_dir(base, recursive=True)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 
@@ -11,6 +13,8 @@ BORDER = re.compile(r"(?<=\S)(?=[ \n]\S)")
 DEFAULT_FILE = "byte_bpe_50k.json"
 #: Words that go to the tokenizer as the lines of one text.
 LINES = 500
+#: Bytes of a cached word beside its letters and ids.
+ENTRY = 180
 
 _encoders: dict[tuple[str, int], "WordEncoder"] = {}
 
@@ -21,11 +25,15 @@ def tokenizer_path(name: str = DEFAULT_FILE) -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(path: str, capacity: int = 500_000) -> "WordEncoder":
-    """This worker's encoder; its cache lives as long as the worker."""
+@contextmanager
+def encoder(path: str, capacity: int = 48 << 20) -> Iterator["WordEncoder"]:
+    """This worker's encoder, for one task: the vocabulary stays with the worker, the cache goes with the task."""
     if (path, capacity) not in _encoders:
         _encoders[path, capacity] = WordEncoder(path, capacity)
-    return _encoders[path, capacity]
+    try:
+        yield _encoders[path, capacity]
+    finally:
+        _encoders[path, capacity].forget()
 
 
 class WordEncoder:
@@ -33,20 +41,24 @@ class WordEncoder:
 
     A byte-level vocabulary merges within pre-tokens only, and a single space or line break between
     two other characters begins one. So ids of words, each with the space before it, stand together
-    as the ids of the text. Words repeat, hence a cache: ``capacity`` bounds its memory, not the
+    as the ids of the text. Words repeat, hence a cache: ``capacity`` bounds its bytes, not the
     result, as words beyond it are encoded again for each batch. A text with other white space is
-    cut only where the same holds, and its pieces are encoded as they are.
+    cut only where the same holds, and its pieces are encoded as they are. A text that holds an added token of
+    the vocabulary, such as its end mark, is encoded whole, as the library finds these before anything else.
     """
 
     def __init__(self, path: str, capacity: int) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.capacity = capacity
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.capacity, self.size = capacity, 0
         self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})  # at line starts, after a space
         self.line_break = self._ids(["\n"])[0]
 
+    def forget(self) -> None:
+        self.known, self.size = ({}, {}), 0
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
@@ -75,6 +87,8 @@ class WordEncoder:
         for text in texts:
             if not text:
                 cut.append(None)
+            elif any(token in text for token in self.added):
+                cut.append([text])
             elif " ".join(text.split()) == text.replace("\n", " "):
                 lines = [line.split(" ") for line in text.split("\n")]
                 for words in lines:
@@ -85,7 +99,9 @@ class WordEncoder:
                 cut.append(BORDER.split(text))
         fresh = [list(s.difference(k)) for s, k in zip(seen, self.known, strict=True)]
         for known, words, before in zip(self.known, fresh, ("", " "), strict=True):
-            known.update(self._learn(words, before))
+            learnt = self._learn(words, before)
+            known.update(learnt)
+            self.size += sum(len(w) + len(ids) + ENTRY for w, ids in learnt.items())
         first, rest = self.known
         out = []
         for parts in cut:
@@ -95,8 +111,6 @@ class WordEncoder:
                 out.append(b"".join(self._ids(parts)))
             else:
                 out.append(self.line_break.join(first[w[0]] + b"".join(map(rest.__getitem__, w[1:])) for w in parts))
-        for known, words in zip(self.known, fresh, strict=True):
-            if len(known) > self.capacity:
-                for word in words:
-                    del known[word]
+        if self.size > self.capacity:
+            self.forget()
         return out
