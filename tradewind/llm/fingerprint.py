@@ -55,6 +55,18 @@ def text_of(vector: Column) -> Column:
     return F.lower(F.array_join(sized, ""))
 
 
+def packed(vector: Column) -> Column:
+    """A vector as bytes of fixed width, the form in which it is stored and moved."""
+    return F.unhex(text_of(vector))
+
+
+def counters(packed: Column) -> Column:
+    """The number of features and the counters of a packed vector."""
+    digits = F.hex(packed)
+    number = lambda start, width: F.conv(F.substr(digits, start, F.lit(width)), 16, 10).cast("long")
+    return F.concat(F.array(number(F.lit(1), 8)), F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda i: number(9 + 4 * i, 4)))
+
+
 def centred(vector: Column) -> Column:
     """The counters of a vector about their mean, whose distance from it is far below 2 ** 15."""
     mean = F.shiftright(vector[0], 1)
@@ -121,19 +133,22 @@ def edited(rows: DataFrame) -> DataFrame:
 
 
 def both_vectors(rows: DataFrame) -> DataFrame:
-    """``doc_id, next_id, n_chars, edited_sha256, own, edit``: the vectors of the texts of :func:`edited` rows.
+    """``doc_id, next_id, n_chars, edited_hash, own, edit, near_edited``: the packed vectors of the texts of :func:`edited` rows.
 
     Rows that are dealt by ``doc_id`` stay so: their features are summed where they are.
     """
     both = rows.withColumn("row", F.monotonically_increasing_id()).select(
-        "doc_id", "row", "next_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        "doc_id", "row", "next_id", "n_chars", F.unhex(F.sha2("edited", 256)).alias("edited_hash"),
         F.explode(F.array(F.struct(F.lit(False).alias("is_edit"), "text"), F.struct(F.lit(True).alias("is_edit"), F.col("edited").alias("text")))).alias("one"),
     ).select("*", "one.is_edit", "one.text").drop("one")
-    keys = ["doc_id", "row", "next_id", "n_chars", "edited_sha256"]
-    found = vectors(both, "text", [*keys, "is_edit"])
-    return found.groupBy(*keys).agg(
+    keys = ["doc_id", "row", "next_id", "n_chars", "edited_hash"]
+    found = vectors(both, "text", [*keys, "is_edit"]).groupBy(*keys).agg(
         F.max(F.when(~F.col("is_edit"), F.col("vector"))).alias("own"), F.max(F.when(F.col("is_edit"), F.col("vector"))).alias("edit")
-    ).drop("row")
+    )
+    return found.select(
+        "doc_id", "next_id", "n_chars", "edited_hash", packed(F.col("own")).alias("own"), packed(F.col("edit")).alias("edit"),
+        likeness(F.col("own"), F.col("edit")).alias("near_edited"),
+    )
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -146,10 +161,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     dealt, alone = with_edits(docs)
     held = stored(both_vectors(dealt).unionByName(both_vectors(alone)), "vectors")
     following = held.filter("doc_id is not null").groupBy(F.col("doc_id").alias("next_id")).agg(F.min("own").alias("next_own"))
-    told = held.select(
-        "doc_id", "next_id", "n_chars", "edited_sha256", "own", text_of(F.col("edit")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("edit")).alias("near_edited")
-    )
-    return told.join(following, "next_id", "left").select(
-        "doc_id", "n_chars", "edited_sha256", text_of(F.col("own")).alias("fingerprint"), "edited_fingerprint", "near_edited",
-        F.coalesce(likeness(F.col("own"), F.col("next_own")), F.lit(0.0)).alias("near_next"),
+    hexed = lambda name: F.lower(F.hex(name))
+    near_next = F.when(F.col("own") == F.col("next_own"), 1.0).otherwise(likeness(counters(F.col("own")), counters(F.col("next_own"))))
+    return held.join(following, "next_id", "left").select(
+        "doc_id", "n_chars", hexed("edited_hash").alias("edited_sha256"), hexed("own").alias("fingerprint"), hexed("edit").alias("edited_fingerprint"),
+        "near_edited", F.coalesce(near_next, F.lit(0.0)).alias("near_next"),
     )
