@@ -143,11 +143,11 @@ def both_vectors(rows: DataFrame) -> DataFrame:
     ).select("*", "one.is_edit", "one.text").drop("one")
     keys = ["doc_id", "row", "next_id", "n_chars", "edited_hash"]
     found = vectors(both, "text", [*keys, "is_edit"]).groupBy(*keys).agg(
-        F.max(F.when(~F.col("is_edit"), F.col("vector"))).alias("own"), F.max(F.when(F.col("is_edit"), F.col("vector"))).alias("edit")
+        F.max(F.when(~F.col("is_edit"), F.col("vector"))).alias("v"), F.max(F.when(F.col("is_edit"), F.col("vector"))).alias("w")
     )
     return found.select(
-        "doc_id", "next_id", "n_chars", "edited_hash", packed(F.col("own")).alias("own"), packed(F.col("edit")).alias("edit"),
-        likeness(F.col("own"), F.col("edit")).alias("near_edited"),
+        "doc_id", "next_id", "n_chars", "edited_hash", packed(F.col("v")).alias("own"), packed(F.col("w")).alias("edit"),
+        likeness(F.col("v"), F.col("w")).alias("near_edited"),
     )
 
 
@@ -162,8 +162,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     held = stored(both_vectors(dealt).unionByName(both_vectors(alone)), "vectors")
     following = held.filter("doc_id is not null").groupBy(F.col("doc_id").alias("next_id")).agg(F.min("own").alias("next_own"))
     hexed = lambda name: F.lower(F.hex(name))
-    near_next = F.when(F.col("own") == F.col("next_own"), 1.0).otherwise(likeness(counters(F.col("own")), counters(F.col("next_own"))))
-    return held.join(following, "next_id", "left").select(
+    near_next = F.when(F.col("own") == F.col("next_own"), 1.0).otherwise(likeness(F.col("x"), F.col("y")))
+    both = held.join(following, "next_id", "left").withColumns({"x": counters(F.col("own")), "y": counters(F.col("next_own"))})
+    return both.select(
         "doc_id", "n_chars", hexed("edited_hash").alias("edited_sha256"), hexed("own").alias("fingerprint"), hexed("edit").alias("edited_fingerprint"),
         "near_edited", F.coalesce(near_next, F.lit(0.0)).alias("near_next"),
     )
