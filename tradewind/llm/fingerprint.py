@@ -159,7 +159,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     has ``near_next`` 0. An empty table gives no rows.
     """
     dealt, alone = with_edits(docs)
-    held = stored(both_vectors(dealt).unionByName(both_vectors(alone)), "vectors")
+    # Stored apart: in one plan with the others, the exchange of texts is made twice.
+    held = stored(both_vectors(dealt), "vectors").unionByName(stored(both_vectors(alone), "vectors"))
     following = held.filter("doc_id is not null").groupBy(F.col("doc_id").alias("next_id")).agg(F.min("own").alias("next_own"))
     hexed = lambda name: F.lower(F.hex(name))
     near_next = F.when(F.col("own") == F.col("next_own"), 1.0).otherwise(likeness(F.col("x"), F.col("y")))
