@@ -33,8 +33,8 @@ STEP = 1 << 20
 SETS = "tag long, n long, s1 long, s2 long"
 #: Words of 64 bits in a sketch: the parity of the shingles hashed to each bit.
 SKETCH = [f"p{i}" for i in range(32)]
-#: Those of them that are compared inside tasks, and members of a block there.
-SHORT, BLOCK = SKETCH[:8], 4096
+#: Members of a block of a list, and its first shared shingles that tell in which of several lists a pair is given.
+BLOCK, HEADS = 4096, [f"h{i}" for i in range(8)]
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,10 +195,11 @@ def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def apart_in_lists(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of members of a list that lie in different components and whose short sketches allow the similarity.
+    """Pairs (a, b) of members of a list that lie in different components and whose sketches allow the similarity.
 
-    ``lists`` has ``token, node, n, place, root``. Members outside of a list's largest component are compared with all of the list, in
-    blocks of bounded size that are dealt over tasks; only pairs that pass leave a task.
+    ``lists`` has ``token, grp, node, n, place, root``. Members outside of a list's largest component are compared with all of the list, in
+    blocks of bounded size that are dealt over tasks; only pairs that pass leave a task, and in one list: that of
+    their first shared shingle, or of their group.
     """
     sizes = lists.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m"))
     parts = stored(sizes.groupBy("token").agg(
@@ -207,59 +208,84 @@ def apart_in_lists(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFram
         F.col("token").alias("of"), "main", F.ceil(F.col("members") / BLOCK).cast("int").alias("wide"),
         F.ceil((F.col("members") - F.col("most")) / BLOCK).cast("int").alias("high"),
     ), "parts")
-    sketch = nodes.select(F.col("node").alias("own"), *SHORT)
-    mixed_lists = lists.join(parts, F.col("token") == F.col("of")).join(sketch, F.col("node") == F.col("own"))
+    apart = stored(lists.join(parts, F.col("token") == F.col("of")).drop("of"), "mixed")
+    # A shingle that two sets of different components share has a list in ``apart``, so these suffice to find the first one.
+    first = F.slice(F.array_sort(F.collect_set(F.struct("place", "token"))), 1, len(HEADS))["token"]
+    heads = apart.filter("token <> grp").groupBy(F.col("grp").alias("of_grp")).agg(first.alias("first"))
+    heads = heads.select("of_grp", *[F.get("first", F.lit(i)).alias(h) for i, h in enumerate(HEADS)])
+    sketch = nodes.select(F.col("node").alias("own"), *SKETCH)
+    values = ["node", "n", "place", "root", "grp", *HEADS, *SKETCH]
+    members = apart.join(heads, F.col("grp") == F.col("of_grp"), "left").join(sketch, F.col("node") == F.col("own"))
+    members = members.withColumns({h: F.coalesce(h, F.lit(0)) for h in HEADS})
     few = F.col("root") != F.col("main")
     row, column = F.pmod("node", "high").cast("int"), F.pmod("node", "wide").cast("int")
     ranges = lambda n: F.sequence(F.lit(0), n - 1)
     every = F.transform(ranges(F.col("high")), lambda i: F.struct(i.alias("i"), column.alias("j"), F.lit(False).alias("few")))
     some = F.when(few, F.transform(ranges(F.col("wide")), lambda j: F.struct(row.alias("i"), j.alias("j"), F.lit(True).alias("few"))))
-    dealt = mixed_lists.select("token", "node", "n", "place", "root", *SHORT, F.explode(F.concat(every, F.coalesce(some, F.array().cast(
-        "array<struct<i:int,j:int,few:boolean>>")))).alias("at")).select("token", "at.i", "at.j", (~F.col("at.few")).alias("other"), "node", "n", "place", "root", *SHORT)
+    blocks = F.explode(F.concat(every, F.coalesce(some, F.array().cast("array<struct<i:int,j:int,few:boolean>>")))).alias("at")
+    dealt = members.select("token", "main", *values, blocks).select("token", "at.i", "at.j", (~F.col("at.few")).alias("other"), "main", *values)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, few_rows = None, np.zeros((0, 4 + len(SHORT)), np.int64)
+        key, few_rows = None, np.zeros((0, len(values)), np.int64)
         for batch in batches:
             keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)], axis=1)
-            other = batch.column(3).to_numpy(zero_copy_only=False)
-            values = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(4, batch.num_columns)], axis=1)
+            other, main = batch.column(3).to_numpy(zero_copy_only=False), batch.column(4).to_numpy()
+            rows = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(5, batch.num_columns)], axis=1)
             starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
+            pairs = []
             for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
                 if key is None or (keys[first] != key).any():
                     key, few_rows = keys[first], few_rows[:0]
-                block, late = values[first:last], other[first:last]
+                block, late = rows[first:last], other[first:last]
                 few_rows = np.concatenate([few_rows, block[~late]])
                 block = block[late]
-                if not len(block):
-                    continue
-                found = [plausible_rows(one, block, percent) for one in few_rows]
-                a = np.repeat(few_rows[:, 0], [len(f) for f in found])
-                b = np.concatenate([np.zeros(0, np.int64), *[block[f, 0] for f in found]])
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                high = max(1, (1 << 18) // max(1, len(block)))
+                for begin in range(0, len(few_rows) if len(block) else 0, high):
+                    some = few_rows[begin : begin + high]
+                    for i, j in zip(*plausible_pairs(some, block, main[first], percent), strict=True):
+                        one, two = some[i], block[j]
+                        if given_here(one, two, key[0]):
+                            pairs.append((min(one[0], two[0]), max(one[0], two[0])))
+            a, b = np.array(pairs, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     grouped = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "other")
     found = stored(grouped.mapInArrow(compare, "a long, b long").distinct(), "rest")
-    discard(parts)
+    discard(parts, apart)
     return found
 
 
-def plausible_rows(one: np.ndarray, block: np.ndarray, percent: int) -> np.ndarray:
-    """Rows (node, n, place, root, sketch words) of another component that may be similar to ``one``.
+def given_here(one: np.ndarray, two: np.ndarray, token: int) -> bool:
+    """Whether no list before that of ``token`` is known to hold both rows."""
+    if one[4] == two[4]:
+        return token == one[4]
+    before = []
+    for row in (one, two):
+        heads = row[5 : 5 + len(HEADS)].tolist()
+        before.append(set(heads[: heads.index(token)] if token in heads else heads) - {0})
+    return before[0].isdisjoint(before[1])
+
+
+def plausible_pairs(few: np.ndarray, block: np.ndarray, main: int, percent: int) -> tuple[list[int], list[int]]:
+    """Places of rows (node, n, place, root, group, first shingles, sketch words) of different components that may be similar.
 
     Sizes, places of the shared shingle (what both sets have after it bounds what they share, where it is the first one shared) and sketches
-    are exact bounds.
+    are exact bounds. Two rows of ``few`` also meet the other way round and are given once; rows of ``main`` are in ``block`` alone.
     """
-    n, place = block[:, 1], block[:, 2]
-    least, most = np.minimum(n, one[1]), np.maximum(n, one[1])
-    both = n + one[1]
-    left = np.minimum(n - place, one[1] - one[2])
-    rows = np.flatnonzero((block[:, 3] != one[3]) & (100 * least >= percent * most) & ((100 + percent) * left >= percent * both))
-    apart = np.zeros(len(rows), np.int64)
-    for word in range(4, block.shape[1]):
-        apart += np.bitwise_count(block[rows, word] ^ one[word])
-        kept = (100 + percent) * apart <= (100 - percent) * both[rows]
-        rows, apart = rows[kept], apart[kept]
-    return rows
+    node, n, place, root = few[:, :4].T[:, :, None]
+    both = n + block[:, 1]
+    left = np.minimum(n - place, block[:, 1] - block[:, 2])
+    fit = (root != block[:, 3]) & ((block[:, 3] == main) | (node < block[:, 0]))
+    fit &= (100 * np.minimum(n, block[:, 1]) >= percent * np.maximum(n, block[:, 1])) & ((100 + percent) * left >= percent * both)
+    i, j = np.nonzero(fit)
+    both, apart = both[i, j], np.zeros(len(i), np.int64)
+    first = 5 + len(HEADS)
+    for words in (slice(first, first + 8), slice(first + 8, first + len(SKETCH))):
+        # Of signed numbers, NumPy would count the bits of the absolute value.
+        apart += np.bitwise_count((few[i, words] ^ block[j, words]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+        kept = (100 + percent) * apart <= (100 - percent) * both
+        i, j, both, apart = i[kept], j[kept], both[kept], apart[kept]
+    return i.tolist(), j.tolist()
 
 
 def fits(a: str, b: str, percent: int) -> Column:
@@ -330,12 +356,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         discard(sets, some)
         return links
 
-    def compared(pairs: DataFrame, label: str) -> DataFrame:
-        """Links among what the sketches leave of the pairs: all that are needed for the components.
+    def compared(left: DataFrame, label: str) -> DataFrame:
+        """Links among the pairs, which the sketches allow: all that are needed for the components; ``left`` goes.
 
         A node's set is first compared with one partner's; then all pairs which that leaves apart are.
         """
-        left = stored(plausible(pairs, nodes, percent), "plausible")
         one = stored(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "one")
         begun = checked(one, label)
         roots = stored(components(begun), "begun")
@@ -358,21 +383,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     stars = stars.select(F.col("head.first").alias("a"), "grp").union(groups.filter("members > 1").select(F.col("first").alias("a"), "grp")).distinct()
     members = nodes.select(F.col("grp").alias("of_grp"), F.col("node").alias("b"))
     pairs = stored(stars.join(members, F.col("grp") == F.col("of_grp")).filter("a <> b").select("a", "b"), "pairs")
-    links = compared(pairs, "links")
+    links = compared(stored(plausible(pairs, nodes, percent), "plausible"), "links")
     rooted = stored(components(links), "roots")
 
     # What is still apart: members of each list, and of each group, that lie in different components.
     expanded = lists.select("token", "grp", "place").union(groups.filter("members > 1").select(F.col("grp").alias("token"), "grp", F.lit(0).alias("place")))
     expanded = expanded.join(nodes.select(F.col("grp").alias("of_grp"), "node", "n"), F.col("grp") == F.col("of_grp"))
     root = rooted.select(F.col("node").alias("named"), "root")
-    placed = stored(expanded.join(root, F.col("node") == F.col("named"), "left").select("token", "node", "n", "place", F.coalesce("root", "node").alias("root")), "placed")
+    placed = stored(expanded.join(root, F.col("node") == F.col("named"), "left").select("token", "grp", "node", "n", "place", F.coalesce("root", "node").alias("root")), "placed")
     discard(lists, groups)
     apart = apart_in_lists(placed, nodes, percent)
     rest = stored(apart.join(pairs, ["a", "b"], "left_anti"), "rest")
     discard(placed, apart, rooted)
     more = compared(rest, "more")
     final = stored(components(links.union(more)), "components")
-    discard(pairs, rest, links, more)
+    discard(pairs, links, more)
 
     named = nodes.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = stored(named.groupBy("root").agg(
