@@ -1,8 +1,9 @@
 """Personal data by candidate gradient boosting.
 
 High-recall patterns propose spans, which may overlap. Boosted trees, grown over the counts of all
-candidates by format and context, score them; a threshold per kind, calibrated for precision, decides
-what is added to the spans that the strict patterns find. DataFrame functions only: the trees are one
+candidates by format and context, score them; a threshold per kind, calibrated for precision on texts the trees
+have not seen, decides what is added to the spans that the strict patterns find. Secrets (keys, tokens, passwords)
+have no strict pattern: the names before them are labels only, so the trees judge one without a name by its format. DataFrame functions only: the trees are one
 expression of built-in functions.
 """
 
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Kinds in the order of the contract.
 KINDS = ("email", "ip", "card", "phone")
+#: All kinds of spans; those beyond the contract's are found by the trees alone.
+ALL = (*KINDS, "secret")
 #: Fixed patterns of the contract, written so that Java's matcher neither backtracks nor recurses on long runs.
 STRICT = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -30,6 +33,7 @@ LOOSE = {
     "ip": r"(?<![0-9A-Za-z.:])[0-9A-Fa-f]{1,4}+(?:[.:][0-9A-Fa-f]{1,4}+){3,7}+(?![0-9A-Za-z.:])",
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[ .-]?[0-9]{2,6}){2,4}(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z.+-])(?:\+|00)?\(?[0-9]{1,4}\)?(?:[ ./-]{1,2}\(?[0-9]{2,5}\)?){1,5}(?![0-9A-Za-z])",
+    "secret": r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])(?=[0-9_-]*+[A-Za-z])[A-Za-z0-9_-]{16,}+",
 }
 #: Words before a span that name its kind.
 NAMED = {
@@ -37,16 +41,21 @@ NAMED = {
     "ip": r"(?i)(?:ip|host|server|address|addr)[ :=]{1,3}$",
     "card": r"(?i)(?:card|visa|mastercard|amex|credit)(?: number| no\.?)?[ :=]{1,3}$",
     "phone": r"(?i)(?:phone|tel|telephone|call|mobile|fax|cell)(?: number| no\.?)?[ .:=]{1,3}$",
+    "secret": r"(?i)(?:key|token|secret|password|passwd|pwd|credentials?)[\"']? {0,2}[:=] {0,2}[\"']?$",
 }
 OCTET = "^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
 CONTEXT = 32
 MARK, OTHER_MARK = "\u0001", "\u0002"
 #: Digits are counted up to this many in the features; no base rule asks for more.
 MOST_DIGITS, MOST_GROUPS = 20, 6
+#: Lengths of secrets are told apart up to this many steps of four.
+MOST_STEPS = 16
+#: One of so many texts is held out of the trees and calibrates their thresholds; copies of a text fall together.
+FOLDS = 3
 TREES, RATE = 40, 0.3
 PRECISION = 0.98
 SPANS = "array<struct<start:int,stop:int,value:string,before:string>>"
-FEATURES = ("kind", "digits", "groups", "plus", "paren", "checksum", "octets", "named", "at", "colon")
+FEATURES = ("kind", "digits", "groups", "plus", "paren", "checksum", "octets", "named", "at", "colon", "length", "classes", "quoted")
 
 
 def spans(text: Column, pattern: str) -> Column:
@@ -101,7 +110,7 @@ def with_matches(docs: DataFrame) -> DataFrame:
 
     def matches(patterns: dict[str, str], strict: bool) -> Column:
         lists = []
-        for i, kind in enumerate(KINDS):
+        for i, kind in enumerate(KINDS if strict else ALL):
             found = spans(text, patterns[kind])
             if strict:
                 found = F.filter(found, lambda s: valid(kind, s["value"]))
@@ -117,6 +126,7 @@ def with_matches(docs: DataFrame) -> DataFrame:
 def features(c: Column) -> dict[str, Column]:
     """Small whole numbers, so that all candidates fall into a bounded number of cells."""
     value, kind = c["value"], c["kind"]
+    secret = kind == ALL.index("secret")
     digits = digits_of(value)
     flag = lambda x: x.cast("int")
     named = reduce(lambda a, b: a | b, [(kind == i) & c["before"].rlike(NAMED[k]) for i, k in enumerate(KINDS)])
@@ -129,6 +139,9 @@ def features(c: Column) -> dict[str, Column]:
         "checksum": flag(F.length(digits).between(12, 19) & F.call_function("luhn_check", digits)),
         "octets": flag(F.regexp_like(value, F.lit(r"^[0-9]+(?:\.[0-9]+){3}$")) & octets_fit(value)),
         "named": flag(named),
+        "length": F.when(secret, F.least(F.floor(F.char_length(value) / 4), F.lit(MOST_STEPS))).otherwise(0).cast("int"),
+        "classes": F.when(secret, sum((flag(value.rlike(c)) for c in ("[a-z]", "[A-Z]", "[0-9]", "[_-]")), F.lit(0))).otherwise(0),
+        "quoted": F.when(secret, flag(c["before"].rlike("[\"']$"))).otherwise(0),
         "at": flag(F.contains(value, F.lit("@"))),
         "colon": flag(F.contains(value, F.lit(":"))),
     }
@@ -142,16 +155,21 @@ def fits_named(c: Column, f: dict[str, Column]) -> Column:
 
 
 def cells(matched: DataFrame) -> list[dict]:
-    """Candidates counted by features and weak label: 1 for a strict match, or one that is named and of its kind's size."""
+    """Candidates counted by features, fold and weak label.
+
+    The label is 1 for a strict match, for one that is named and of its kind's size, and for a named secret.
+    """
     marked = F.transform("__more", lambda c: F.struct(
         c.alias("c"), F.exists("__base", lambda b: (b["kind"] == c["kind"]) & (b["start"] <= c["start"]) & (b["stop"] >= c["stop"])).alias("strict"),
     ))
-    rows = matched.filter(F.size("__more") > 0).select(F.explode(marked).alias("m"))
+    held = (F.pmod(F.xxhash64("__text"), F.lit(FOLDS)) == 0).cast("int").alias("held")
+    rows = matched.filter(F.size("__more") > 0).select(held, F.explode(marked).alias("m"))
     f = features(F.col("m.c"))
-    label = (F.col("m.strict") | fits_named(F.col("m.c"), f)).cast("int")
-    named = rows.select(*[f[x].alias(x) for x in FEATURES], label.alias("label"))
-    # At most levels of all features times two rows, however large the input.
-    return [r.asDict() for r in named.groupBy(*FEATURES, "label").agg(F.count(F.lit(1)).alias("n")).collect()]
+    secret = (F.col("m.c.kind") == ALL.index("secret")) & F.col("m.c.before").rlike(NAMED["secret"])
+    label = (F.col("m.strict") | fits_named(F.col("m.c"), f) | secret).cast("int")
+    named = rows.select("held", *[f[x].alias(x) for x in FEATURES], label.alias("label"))
+    # At most levels of all features times folds and labels, however large the input.
+    return [r.asDict() for r in named.groupBy("held", *FEATURES, "label").agg(F.count(F.lit(1)).alias("n")).collect()]
 
 
 @dataclass(frozen=True)
@@ -206,13 +224,18 @@ class Model:
         return reduce(lambda a, b: a + b, [t.column(f) for t in self.trees], F.lit(self.bias))
 
 
-def boost(rows: list[dict]) -> Model:
-    """Logistic gradient boosting over weighted cells, and the lowest threshold of each kind with the wanted precision."""
+def boost(cells: list[dict]) -> Model:
+    """Logistic gradient boosting over weighted cells, and the lowest threshold of each kind with the wanted precision on the texts held out.
+
+    Without positives and negatives to grow on, or without any held-out candidate of a kind, nothing of it is added.
+    """
+    ordered = sorted(cells, key=lambda r: tuple(r[x] for x in (*FEATURES, "label")))
+    rows, held = [r for r in ordered if not r["held"]], [r for r in ordered if r["held"]]
     positive, total = sum(r["n"] for r in rows if r["label"]), sum(r["n"] for r in rows)
     if not rows or positive in (0, total):
-        return Model((), 0.0, (math.inf,) * len(KINDS))
+        return Model((), 0.0, (math.inf,) * len(ALL))
     bias = math.log(positive / (total - positive))
-    rows = [r | {"f": bias} for r in sorted(rows, key=lambda r: tuple(r[x] for x in (*FEATURES, "label")))]
+    rows, held = [r | {"f": bias} for r in rows], [r | {"f": bias} for r in held]
     trees = []
     for _ in range(TREES):
         for r in rows:
@@ -220,11 +243,11 @@ def boost(rows: list[dict]) -> Model:
             r["g"], r["h"] = r["n"] * (r["label"] - p), r["n"] * p * (1 - p)
         tree = grow(rows, 3)
         trees.append(tree)
-        for r in rows:
+        for r in (*rows, *held):
             r["f"] += tree.score(r)
     thresholds = []
-    for kind in range(len(KINDS)):
-        own = sorted((r for r in rows if r["kind"] == kind), key=lambda r: -r["f"])
+    for kind in range(len(ALL)):
+        own = sorted((r for r in held if r["kind"] == kind), key=lambda r: -r["f"])
         best, right, seen = math.inf, 0, 0
         for i, r in enumerate(own):
             right, seen = right + r["n"] * r["label"], seen + r["n"]
@@ -241,12 +264,13 @@ def chosen(model: Model) -> Column:
     if all(math.isinf(t) for t in model.thresholds):
         return base
 
-    def enough(c: Column) -> Column:
-        score = model.column(features(c))
-        return reduce(lambda a, b: a | b, [(c["kind"] == i) & (score >= t) for i, t in enumerate(model.thresholds) if not math.isinf(t)])
-
     # A candidate inside or across a base span is none: those are found by their strict borders already.
-    free = F.filter("__more", lambda c: ~F.exists("__base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])) & enough(c))
+    free = F.filter("__more", lambda c: ~F.exists("__base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
+    # Features and score are bound once a candidate; the trees are many references to them.
+    told = F.transform(free, lambda c: F.struct(c.alias("c"), F.struct(*[f.alias(x) for x, f in features(c).items()]).alias("f")))
+    scored = F.transform(told, lambda t: F.struct(t["c"].alias("c"), model.column({x: t["f"][x] for x in FEATURES}).alias("score")))
+    thresholds = F.array(*[F.lit(t) for t in model.thresholds])
+    free = F.transform(F.filter(scored, lambda t: t["score"] >= thresholds[t["c"]["kind"]]), lambda t: t["c"])
     none = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
     # By start, then kind: the first of overlapping candidates stays.
     apart = F.aggregate(free, none, lambda kept, c: F.when(
@@ -256,7 +280,7 @@ def chosen(model: Model) -> Column:
 
 
 def listed(found: Column) -> Column:
-    names = F.array(*[F.lit(k) for k in KINDS])
+    names = F.array(*[F.lit(k) for k in ALL])
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["stop"])), ",")
 
 
@@ -275,7 +299,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
 def redact(found: DataFrame) -> DataFrame:
     """``text`` with each span replaced by the upper-case name of its kind in brackets; overlapping spans become one."""
-    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    names = F.array(*[F.lit(f"[{k.upper()}]") for k in ALL])
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(held: Column, span: Column) -> Column:

@@ -56,7 +56,8 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.filter("base_spans", lambda s: s["kind"] == i)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)
     ]
     return found.select(
-        "doc_id", *counts, F.sha2(pii.listed(F.col("base_spans")), 256).alias("base_sha256"), pii.listed(F.col("pii_spans")).alias("spans")
+        "doc_id", *counts, F.sha2(pii.listed(F.col("base_spans")), 256).alias("base_sha256"), pii.listed(F.col("pii_spans")).alias("spans"),
+        F.size("pii_spans").cast("long").alias("n_spans"), (F.size("pii_spans") > 0).cast("int").alias("found"),
     )
 
 
