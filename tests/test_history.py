@@ -19,6 +19,10 @@ def day(n):
     return T0 + timedelta(days=n)
 
 
+def moment_at(n):
+    return T0 + timedelta(seconds=n)
+
+
 def step(spark, held, rows, run, closed=None, **options):
     source = spark.createDataFrame(rows, SCHEMA)
     return history_step(held, source, "customer_id", "updated_at", run, closed_rows=closed, **options)
@@ -101,6 +105,68 @@ def test_version_at(spark):
     assert results == [{1: None, 2: "x", 3: "y", 4: None, 5: None}] * 2
 
 
+def test_version_at_many_versions_of_a_hot_key(spark):
+    """Merged by time: a hot key in slices, ties at borders, gaps, empty intervals, null keys and moments."""
+    rng = random.Random(3)
+    intervals, facts = [], []
+    for key, versions in [("hot", 300), *[(f"k{i}", 2) for i in range(20)]]:
+        at = 0
+        for i in range(versions):
+            start = at + rng.choice([0, 0, 3])
+            at = start + rng.choice([0, 1, 5])
+            intervals.append((key, f"{key}-{i}", moment_at(start), None if i == versions - 1 else moment_at(at)))
+    for i in range(3000):
+        key = rng.choice(["hot"] * 10 + [f"k{rng.randrange(25)}", None])
+        moment = moment_at(500) if i % 3 == 0 else moment_at(rng.randrange(-5, 1200))
+        facts.append((i, key, None if i % 50 == 7 else moment))
+    versions = spark.createDataFrame(intervals, "customer_id string, segment string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    rows = spark.createDataFrame(facts, "id int, customer_id string, at timestamp_ntz")
+    expected = {
+        i: next((s for k, s, a, b in intervals if k == key and at and a <= at and (b is None or at < b)), None) for i, key, at in facts
+    }
+    joined = version_at(rows, versions, "customer_id", "at", spread_by="id")
+    assert "SortMergeJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    found = joined.collect()
+    assert len(found) == len(facts) and {r.id: r.segment for r in found} == expected
+    inner = version_at(rows, versions, "customer_id", "at", "inner").collect()
+    assert {r.id: r.segment for r in inner} == {i: s for i, s in expected.items() if s}
+    assert len({s for s in expected.values()}) > 100
+
+
+@pytest.mark.parametrize("layout", [{"bucket_by": "k", "buckets": 4}, {"partition_by": "part"}, {}])
+def test_upsert_rewrites_only_files_with_a_matched_row(spark, tmp_path, layout):
+    table = StoredTable(spark, f"{tmp_path}/t", **layout)
+    row = lambda k, v: (k, f"a/b {k % 2}", v)
+    frame = lambda rows: spark.createDataFrame(rows, "k int, part string, v string")
+    held = {}
+    for write in range(3):
+        rows = [row(k, f"w{write}") for k in range(write * 10, write * 10 + 10)]
+        table.append(frame(rows))
+        held |= {r[0]: r for r in rows}
+    before = {f for paths in table.listing()["parts"].values() for p in paths for f in table._expanded(p)}
+    delta = [row(3, "new"), row(25, "new"), row(99, "added")]
+    table.upsert(frame(delta), "k")
+    held |= {r[0]: r for r in delta}
+    after = {f for paths in table.listing()["parts"].values() for p in paths for f in table._expanded(p)}
+    holding = table._files({**table.listing()}, sorted(before), True).filter("k in (3, 25)").select("_file").distinct().count()
+    assert len(before - after) == holding == 2
+    assert Counter(map(tuple, table.read().collect())) == Counter(held.values())
+    table.upsert(frame([row(3, "newer"), row(99, "again")]), "k")
+    held |= {3: row(3, "newer"), 99: row(99, "again")}
+    assert Counter(map(tuple, table.read().collect())) == Counter(held.values())
+    assert table.compact(most=1) >= 1
+    assert Counter(map(tuple, table.read().collect())) == Counter(held.values())
+    assert all(len(paths) == 1 for paths in table.listing()["parts"].values())
+
+
+def test_files_follow_partitions_not_tasks(spark, tmp_path):
+    """A small write of many tasks gives about one file a partition."""
+    table = StoredTable(spark, f"{tmp_path}/t", "part")
+    table.overwrite(spark.range(0, 8000, 1, 16).selectExpr("id", "cast(id % 5 as string) as part"))
+    assert table.file_count() == 5
+    assert table.read().count() == 8000
+
+
 def test_table_upsert_moves_rows_between_partitions(spark, tmp_path):
     table = StoredTable(spark, f"{tmp_path}/t", "month", ["k"])
     table.overwrite(spark.createDataFrame([(1, "m1", "a"), (2, "m2", "b"), (3, "m3", "c")], "k int, month string, v string"))

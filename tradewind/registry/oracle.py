@@ -428,6 +428,12 @@ FINAL: dict[str, str] = {
         delta AS ({_orders_when("_loaded_at >= (SELECT start FROM mark)")})
         {_show("stg_orders", "delta")} UNION ALL
         {_show("stg_orders", "target")} WHERE order_id NOT IN (SELECT order_id FROM delta)""",
+    "stored_upsert_partitions": f"""
+        WITH target AS ({_orders_when("_loaded_at < TIMESTAMP '1999-01-01'")}),
+        delta AS ({_orders_when("_loaded_at >= (SELECT start FROM mark)")}),
+        merged AS ({_show("stg_orders", "delta")} UNION ALL
+          {_show("stg_orders", "target")} WHERE order_id NOT IN (SELECT order_id FROM delta))
+        SELECT *, unnest(['buckets', 'months']) AS layout FROM merged""",
     "upsert_newer_wins": _show("stg_orders"),
     "upsert_new_columns": """
         SELECT product_id, CASE WHEN margin_pct >= 60 THEN upper(product_name) ELSE product_name END
@@ -564,6 +570,7 @@ FINAL: dict[str, str] = {
         SELECT log_id, started_at, completed_at,
           datediff('second', started_at, completed_at) AS execution_seconds FROM file_log""",
     "stream_dedup_upsert": _show("stg_order_items"),
+    "stream_batches_upsert": _show("stg_order_items"),
     "ingest_csv_orders": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CASE WHEN early THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
           CASE WHEN o_orderkey % {TWO_LINES} = 2 THEN o_orderpriority || ', " said' || chr(10) || o_orderstatus

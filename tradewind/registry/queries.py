@@ -20,6 +20,7 @@ from tradewind.registry.landings import ingest_csv_drift, ingest_csv_orders, ing
 from tradewind.registry.shapes import AS_OF, AS_OF_TS, table
 from tradewind.session import cut_lineage, ensure_checkpoint_dir, side_by_side
 from tradewind.sources import seeds
+from tradewind.sources.tables import StoredTable
 from tradewind.streaming import feed
 
 FIRST_RUN = datetime(2001, 1, 1)
@@ -296,6 +297,31 @@ def upsert_orders(spark, d):
     return published(merging.upsert(target, staging.stg_orders(raw, mark), "order_id"))
 
 
+def stored_upsert_partitions(spark, d):
+    """The same merge into stored tables: one split by buckets of the key, one by order month, whose rows may move."""
+    raw = shapes.raw_orders(spark, d)
+    old, delta = staging.stg_orders(loaded_before(raw, MARK)), staging.stg_orders(
+        raw, lookback.high_mark(loaded_before(raw, MARK), "_loaded_at"))
+    work = f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    month = F.date_format("order_date", "yyyy-MM").alias("order_month")
+
+    def merged(layout: str) -> DataFrame:
+        if layout == "buckets":
+            stored = StoredTable(spark, f"{work}/{layout}", bucket_by="order_id")
+            stored.overwrite(old)
+            stored.upsert(delta, "order_id")
+            rows = stored.read()
+        else:
+            stored = StoredTable(spark, f"{work}/{layout}", "order_month")
+            stored.overwrite(old.select("*", month))
+            stored.upsert(delta.select("*", month), "order_id")
+            rows = stored.read().drop("order_month")
+        return rows.withColumn("layout", F.lit(layout))
+
+    buckets, months = side_by_side(spark, merged, ["buckets", "months"])
+    return published(buckets.unionByName(months))
+
+
 def upsert_newer_wins(spark, d):
     """The late batch holds the first deliveries, which must not displace the later ones."""
     raw = shapes.raw_orders(spark, d)
@@ -620,6 +646,26 @@ def stream_dedup_upsert(spark, d):
     return published(stored)
 
 
+def stream_batches_upsert(spark, d):
+    """Order lines in three drops, the last of them outdated re-deliveries, and a restart without news; one batch a drop."""
+    lines = shapes.raw_order_items(spark, d)
+    work = f"{ensure_checkpoint_dir(spark)}/feed-{uuid.uuid4().hex}"
+    loaded = F.col("_loaded_at")
+    outdated = lines.withColumns({
+        "quantity": (F.col("quantity") + 1).cast(lines.schema["quantity"].dataType), "_loaded_at": loaded - F.expr("interval 1 day"),
+    })
+    old = loaded < F.lit(datetime(1995, 1, 1))
+    merged = StoredTable(spark, f"{work}/table", bucket_by="order_item_id")
+    for drop in (lines.filter(old), lines.filter(F.coalesce(~old, F.lit(True))), outdated, None):
+        if drop is not None:
+            drop.write.mode("append").parquet(f"{work}/landing")
+        stream = feed.change_feed(spark, f"{work}/landing", lines.schema)
+        stored = feed.upsert_stream(
+            stream, staging.stg_order_items, merged, "order_item_id", f"{work}/offsets", version="_raw_loaded_at",
+        )
+    return published(stored)
+
+
 NAMES = """
 stg_orders_dedup stg_order_items_dedup stg_products_clean stg_customers_flatten
 events_variant_extract orders_enriched order_item_totals customer_metrics rfm_scored rfm_segments
@@ -631,7 +677,7 @@ dq_suite dq_not_null dq_unique dq_accepted_values dq_between dq_relationships dq
 dq_row_count dq_date_anomaly dq_duplicate_keys dq_orphan_orders dq_revenue_reconciliation
 dq_freshness mask_by_role masked_customers row_access safe_customer_view latest_file_status
 files_pending_retry new_files_anti_join schema_registry_merge schema_drift_report task_run_seconds
-stream_dedup_upsert ingest_csv_orders ingest_csv_drift ingest_json_layouts ingest_json_log
+stream_dedup_upsert stream_batches_upsert stored_upsert_partitions ingest_csv_orders ingest_csv_drift ingest_json_layouts ingest_json_log
 """.split()
 
 

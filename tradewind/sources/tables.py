@@ -2,7 +2,7 @@
 
 Plain Parquet has no MERGE. A write here goes to directories of its own and becomes visible when a
 small listing of the directories in force is renamed into place, so readers and retried jobs never
-see half a write, and an upsert rewrites only the partitions it touches.
+see half a write, and an upsert rewrites only the files that hold a matched row.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from tradewind.functions.casts import quoted
 from tradewind.session import cut_lineage
 
 WHOLE = "whole"
+BUCKET, FILE = "_bucket", "_file"
 
 
 class ConcurrentWrite(RuntimeError):
@@ -31,17 +32,22 @@ class StoredTable:
     """A table under ``root``, optionally split by one low-cardinality column.
 
     ``partition_by`` names a column of bounded cardinality (a month, a date, a state);
-    ``cluster_by`` names columns to range-partition and sort files by. One writer at a time.
+    ``cluster_by`` names columns to range-partition and sort files by. ``bucket_by`` names the key that
+    upserts match on: rows are split by its hash and sorted by it, so that a merge looks only into the
+    buckets and key ranges of its rows. The number of buckets is fixed by the first write. One writer at a time.
     """
 
     def __init__(
         self, spark: SparkSession, root: str, partition_by: str | None = None,
-        cluster_by: list[str] | None = None,
+        cluster_by: list[str] | None = None, bucket_by: str | None = None, buckets: int = 16,
     ):
+        if bucket_by and (partition_by or cluster_by):
+            raise ValueError("a table is split by a column or by buckets of its key")
         self.spark = spark
         self.root = root.rstrip("/")
-        self.partition_by = partition_by
+        self.partition_by = BUCKET if bucket_by else partition_by
         self.cluster_by = cluster_by or []
+        self.bucket_by, self._buckets = bucket_by, buckets
         hadoop = spark._jvm.org.apache.hadoop.fs
         self._path = hadoop.Path
         self._fs = hadoop.Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -98,14 +104,32 @@ class StoredTable:
         return self._rows(listing, only)
 
     def _rows(self, listing: dict, only: list[str] | None = None) -> DataFrame:
-        schema = T.StructType.fromJson(listing["schema"])
         parts = listing["parts"]
-        paths = [p for label in parts if only is None or label in only for p in parts[label]]
+        return self._files(listing, [p for label in parts if only is None or label in only for p in parts[label]])
+
+    def _files(self, listing: dict, paths: list[str], with_file: bool = False) -> DataFrame:
+        """Rows of some directories or files in force, with the file each stands in if asked for."""
+        schema = T.StructType.fromJson(listing["schema"])
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            empty = self.spark.createDataFrame([], schema)
+            return empty.withColumn(FILE, F.lit("")) if with_file else empty
         # Older directories may lack newer columns: the stored schema reads those as null.
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/data")
-        return reader.parquet(*[f"{self.root}/data/{p}" for p in paths]).select(*map(quoted, schema.fieldNames()))
+        rows = reader.parquet(*[f"{self.root}/data/{p}" for p in paths])
+        extra = [F.col("_metadata.file_path").alias(FILE)] if with_file else []
+        return rows.select(*map(quoted, schema.fieldNames()), *extra)
+
+    def file_count(self) -> int:
+        """Files in force."""
+        listing = self.listing() or {"parts": {}}
+        return sum(len(self._expanded(p)) for paths in listing["parts"].values() for p in paths)
+
+    def _expanded(self, path: str) -> list[str]:
+        """A file as it is, a directory as the data files in it."""
+        if path.endswith(".parquet"):
+            return [path]
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.root}/data/{path}"))]
+        return [f"{path}/{n}" for n in sorted(names) if n.endswith(".parquet")]
 
     def as_view(self, name: str) -> None:
         self.read().createOrReplaceTempView(name)
@@ -118,6 +142,12 @@ class StoredTable:
         order = [c for c in [self.partition_by, *self.cluster_by] if c]
         if self.cluster_by:
             df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        elif self.bucket_by:
+            rows = df.withColumn(BUCKET, self._bucket(self.bucket_by)).hint("rebalance", BUCKET)
+            df = rows.sortWithinPartitions(BUCKET, quoted(self.bucket_by))
+        elif self.partition_by:
+            # Adaptive execution joins small partitions and splits large ones towards the advised file size.
+            df = df.hint("rebalance", self.partition_by)
         writer = df.write.mode("errorifexists")
         if self.partition_by is None:
             writer.parquet(f"{self.root}/data/{folder}")
@@ -126,12 +156,23 @@ class StoredTable:
         names = [s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.root}/data/{folder}"))]
         return {n: [f"{folder}/{n}"] for n in names if n.startswith(f"{self.partition_by}=")}
 
+    def _bucket(self, key: str) -> F.Column:
+        count = (self.listing() or {}).get("buckets") or self._buckets
+        return F.pmod(F.xxhash64(quoted(key)), F.lit(count)).cast("int")
+
     def _publish(
-        self, df: DataFrame, drop: set[str] | None, batch_id: str | None, comment: str | None = None
+        self, df: DataFrame, drop: set[str] | None, batch_id: str | None, comment: str | None = None,
+        files: dict[str, set[str]] | None = None,
     ) -> dict:
-        """Write ``df`` and put it in force in place of the labels in ``drop`` (None: all)."""
+        """Write ``df`` and put it in force in place of the labels in ``drop`` (None: all) and of ``files`` by label."""
         held = self.listing() or {"version": 0, "parts": {}, "batches": [], "comment": None}
         parts = {} if drop is None else {k: v for k, v in held["parts"].items() if k not in drop}
+        for label, gone in (files or {}).items():
+            parts[label] = [
+                f for p in parts[label] for f in (self._expanded(p) if any(g.startswith(p) for g in gone) else [p])
+                if f not in gone
+            ]
+        parts = {k: v for k, v in parts.items() if v}
         for label, paths in self._write(df).items():
             parts[label] = parts.get(label, []) + paths
         listing = {
@@ -141,6 +182,8 @@ class StoredTable:
             "batches": held["batches"] + ([batch_id] if batch_id else []),
             "comment": comment or held["comment"],
         }
+        if self.bucket_by:
+            listing["buckets"] = held.get("buckets") or self._buckets
         self._store_listing(listing)
         return listing
 
@@ -202,7 +245,7 @@ class StoredTable:
     ) -> dict | None:
         """Merge rows by key; with ``version`` an older re-delivery does not displace a later row.
 
-        Only partitions that hold a matched old row or receive a new one are rewritten.
+        Only files that hold a matched old row are rewritten; other rows are added beside them.
         """
         if batch_id and self.has_batch(batch_id):
             return None
@@ -211,19 +254,41 @@ class StoredTable:
         held = self.listing()
         if held is None:
             return self._publish(delta, None, batch_id)
-
-        def merge(target: DataFrame) -> DataFrame:
-            return upsert_if_newer(target, delta, key, version) if version else upsert(target, delta, key)
-
-        if self.partition_by is None:
-            return self._publish(merge(self._rows(held)), None, batch_id)
-        column = self.partition_by
-        keyed = delta.select(key)
-        old = self._rows(held).select(key, column).join(keyed, key, "left_semi").select(column)
-        touched = old.unionByName(delta.select(column)).distinct()
-        values = [r[0] for r in touched.select(F.col(column).cast("string")).collect()]
-        labels = self._labels(held, values)
-        return self._publish(merge(self._rows(held, list(labels))), labels, batch_id)
+        files = self._touched(held, delta, key)
+        target = self._files(held, [f for found in files.values() for f in sorted(found)])
+        merged = upsert_if_newer(target, delta, key, version) if version else upsert(target, delta, key)
+        return self._publish(merged, set(), batch_id, files=files)
+
+    def _touched(self, held: dict, delta: DataFrame, key: str) -> dict[str, set[str]]:
+        """By label, the files in force with a key of ``delta``; reads the key column of its buckets and key range."""
+        bucketed = self.bucket_by == key and "buckets" in held
+        found = [F.min(quoted(key)).alias("low"), F.max(quoted(key)).alias("high")]
+        if bucketed:
+            found.append(F.collect_set(self._bucket(key)).alias("buckets"))  # at most as many as the table has
+        seen = delta.filter(F.col(quoted(key)).isNotNull()).agg(*found).first()
+        labels = self._labels(held, seen.buckets) if bucketed else set(held["parts"])
+        label_of = {p: label for label in labels for p in held["parts"][label]}
+        kind = delta.schema[key].dataType
+        within = F.col(quoted(key)).between(F.lit(seen.low).cast(kind), F.lit(seen.high).cast(kind))
+        rows = self._files(held, list(label_of), with_file=True).filter(within).select(quoted(key), FILE)
+        hit = rows.join(delta.select(quoted(key)), key, "left_semi").select(FILE).distinct().collect()
+        inside = self._path(f"{self.root}/data").toUri().getPath().rstrip("/") + "/"
+        files: dict[str, set[str]] = {}
+        for row in hit:
+            # Spark gives an escaped address; the path below ``data`` is what listings hold.
+            path = self.spark._jvm.java.net.URI(row[0]).getPath()
+            name = path[path.index(inside) + len(inside):]
+            label = label_of.get(name) or label_of[name.rpartition("/")[0]]
+            files.setdefault(label, set()).add(name)
+        return files
+
+    def compact(self, most: int = 8) -> int:
+        """Rewrite the partitions listed as more than ``most`` directories or files; returns their number."""
+        held = self.listing()
+        labels = {k for k, paths in held["parts"].items() if len(paths) > most}
+        if labels:
+            self._publish(self._rows(held, list(labels)), labels, None)
+        return len(labels)
 
     def expire(self, keep: int = 5) -> int:
         """Forget all but the last ``keep`` versions; returns the number of directories removed."""
