@@ -62,8 +62,9 @@ class Warehouse:
 
     def staged(self, entity: str) -> StoredTable:
         # Deliveries come in order of time, so a merge touches few load dates of the big tables.
-        partition = "_loaded_date" if entity in ("orders", "order_items") else None
-        return self._table("staging", entity, partition)
+        if entity in ("orders", "order_items"):
+            return self._table("staging", entity, "_loaded_date")
+        return StoredTable(self.spark, f"{self.root}/staging/{entity}", bucket_by=STAGED[entity][1])
 
     def snapshot(self) -> StoredTable:
         return self._table("snapshots", "customers", "is_open")

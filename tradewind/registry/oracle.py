@@ -245,16 +245,19 @@ CTES["high_scores"] = _SCORES.format(r="DESC", f="ASC")
 _PROFILE = """customer_id, email, first_name, last_name, country_code, customer_segment,
   acquisition_channel, is_email_verified, customer_created_at, customer_updated_at"""
 CTES["remaining"] = f"""
-SELECT {_PROFILE} FROM stg_customers WHERE CAST(customer_id AS BIGINT) % 13 <> 0
+SELECT {_PROFILE} FROM stg_customers
+WHERE customer_id NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal < 0)
 """
-CTES["changes"] = """
+_CHANGES = """
 SELECT f.customer_id, r.customer_id IS NULL AS gone, r.customer_updated_at AS next_update,
   coalesce(r.customer_updated_at > coalesce(f.customer_updated_at, TIMESTAMP '2001-01-01'), FALSE) AS changed
-FROM first_customers f LEFT JOIN remaining r ON f.customer_id = r.customer_id
+FROM first_customers f LEFT JOIN {source} r ON f.customer_id = r.customer_id
 """
+CTES["changes"] = _CHANGES.format(source="remaining")
+CTES["changes_of_all"] = _CHANGES.format(source="stg_customers")
 
 
-def _versions(deletes: bool) -> str:
+def _versions(deletes: bool, source: str = "remaining", changes: str = "changes") -> str:
     gone = "greatest(TIMESTAMP '2001-06-01', started)" if deletes else "NULL"
     return f"""
 SELECT v.*, md5(v.customer_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) AS version_id
@@ -263,18 +266,19 @@ FROM (
     CASE WHEN changed THEN next_update WHEN gone THEN {gone} END AS valid_to
   FROM (SELECT f.*, coalesce(f.customer_updated_at, TIMESTAMP '2001-01-01') AS started, x.gone, x.changed,
           x.next_update
-        FROM first_customers f JOIN changes x ON f.customer_id = x.customer_id)
+        FROM first_customers f JOIN {changes} x ON f.customer_id = x.customer_id)
   UNION ALL
   SELECT {_PROFILE.replace("customer_id,", "r.customer_id,", 1)},
     coalesce(customer_updated_at, TIMESTAMP '2001-06-01'), coalesce(customer_updated_at, TIMESTAMP '2001-06-01'),
     CAST(NULL AS TIMESTAMP)
-  FROM remaining r LEFT JOIN changes x ON r.customer_id = x.customer_id
+  FROM {source} r LEFT JOIN {changes} x ON r.customer_id = x.customer_id
   WHERE x.customer_id IS NULL OR x.changed
 ) v
 """
 
 
-CTES["versions"] = _versions(True)
+CTES["versions"] = _versions(True, "stg_customers", "changes_of_all")
+CTES["versions_deleted"] = _versions(True)
 CTES["versions_kept"] = _versions(False)
 CTES["dim"] = """
 SELECT md5(v.customer_id) AS customer_sk, v.customer_id, email, first_name, last_name, country_code,
@@ -444,7 +448,7 @@ FINAL: dict[str, str] = {
         FROM facts WHERE _raw_loaded_at >= TIMESTAMP '1998-12-29' OR order_id IN
           (SELECT order_id FROM stg_order_items WHERE _raw_loaded_at >= TIMESTAMP '1998-12-29')""",
     "scd2_snapshot": "SELECT * FROM versions_kept",
-    "scd2_hard_delete": "SELECT * FROM versions",
+    "scd2_hard_delete": "SELECT * FROM versions_deleted",
     "scd2_check_strategy": """
         SELECT x.*, md5(customer_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) AS version_id
         FROM (
@@ -462,7 +466,7 @@ FINAL: dict[str, str] = {
     "scd2_as_of_join": """
         SELECT o.order_id, o.customer_id, o.order_date, v.customer_segment AS segment_then, v.valid_from,
           v.valid_to
-        FROM stg_orders o LEFT JOIN versions v ON o.customer_id = v.customer_id
+        FROM stg_orders o LEFT JOIN versions_deleted v ON o.customer_id = v.customer_id
           AND o.order_date >= v.valid_from AND (v.valid_to IS NULL OR o.order_date < v.valid_to)""",
     "revenue_by_region_month": """
         SELECT coalesce(region, 'Unknown') AS region, order_month, count(*) AS order_count,
@@ -522,7 +526,11 @@ FINAL: dict[str, str] = {
           UNION ALL SELECT 'click', max(ts), TIMESTAMP '2024-01-31 15:00:00' FROM events
           WHERE event_type = 'click' AND ts <= TIMESTAMP '2024-01-31 15:00:00'
           UNION ALL SELECT 'view', max(ts), TIMESTAMP '2024-02-01 15:00:00' FROM events
-          WHERE event_type = 'view' AND ts <= TIMESTAMP '2024-02-01 15:00:00')""",
+          WHERE event_type = 'view' AND ts <= TIMESTAMP '2024-02-01 15:00:00'
+          UNION ALL SELECT 'signup', max(ts), TIMESTAMP '2024-01-31 02:00:00' FROM events
+          WHERE event_type = 'signup' AND ts <= TIMESTAMP '2024-01-31 02:00:00'
+          UNION ALL SELECT 'error', max(ts), TIMESTAMP '2024-03-01 00:00:00' FROM events
+          WHERE event_type = 'error' AND ts <= TIMESTAMP '2024-03-01 00:00:00')""",
     "mask_by_role": """
         SELECT customer_id, email AS email_transformer, phone AS phone_transformer,
           last_name AS last_name_transformer, CAST(year(date_of_birth) AS BIGINT) AS birth_transformer,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ MARK = datetime(1999, 1, 1)
 EVENTS_AS_OF = datetime(2024, 1, 20, 12, 30)
 FRESHNESS_TIMES = {
     "purchase": EVENTS_AS_OF, "click": datetime(2024, 1, 31, 15), "view": datetime(2024, 2, 1, 15),
+    "signup": datetime(2024, 1, 31, 2), "error": datetime(2024, 3, 1),
 }
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,13 +94,14 @@ def first_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return history.history_step(None, source, "customer_id", "customer_updated_at", FIRST_RUN)
 
 
-def second_snapshot(spark: SparkSession, d: str, hard_deletes: bool = True) -> DataFrame:
-    """History after a second run, over all deliveries but without every 13th customer."""
+def second_snapshot(spark: SparkSession, d: str, hard_deletes: bool = True, leaving: bool = False) -> DataFrame:
+    """History after a second run over all deliveries; with ``leaving``, customers in debt are no longer delivered."""
     source = stg_customers(spark, d).select(*marts.SNAPSHOT_COLUMNS)
-    remaining = source.filter(F.col("customer_id").cast("bigint") % 13 != 0)
+    if leaving:
+        gone = table(spark, d, "customer").filter("c_acctbal < 0").selectExpr("cast(c_custkey as string) as customer_id")
+        source = source.join(gone, "customer_id", "left_anti")
     return history.history_step(
-        first_snapshot(spark, d), remaining, "customer_id", "customer_updated_at", SECOND_RUN,
-        hard_deletes=hard_deletes,
+        first_snapshot(spark, d), source, "customer_id", "customer_updated_at", SECOND_RUN, hard_deletes=hard_deletes,
     )
 
 
@@ -349,11 +352,11 @@ def fct_late_lines(spark, d):
 
 
 def scd2_snapshot(spark, d):
-    return published(second_snapshot(spark, d, hard_deletes=False))
+    return published(second_snapshot(spark, d, hard_deletes=False, leaving=True))
 
 
 def scd2_hard_delete(spark, d):
-    return published(second_snapshot(spark, d))
+    return published(second_snapshot(spark, d, leaving=True))
 
 
 def scd2_check_strategy(spark, d):
@@ -368,7 +371,7 @@ def scd2_check_strategy(spark, d):
 
 
 def scd2_as_of_join(spark, d):
-    versions = second_snapshot(spark, d).select(
+    versions = second_snapshot(spark, d, leaving=True).select(
         "customer_id", F.col("customer_segment").alias("segment_then"), "valid_from", "valid_to"
     )
     orders = stg_orders(spark, d).select("order_id", "customer_id", "order_date")
@@ -502,13 +505,13 @@ def dq_revenue_reconciliation(spark, d):
 
 
 def dq_freshness(spark, d):
-    """Three sources read at three times: one fresh, one late, one stale."""
+    """Every type of event as a source read at a time of its own: fresh, late or stale."""
     parts = []
     for kind, now in FRESHNESS_TIMES.items():
         known = F.col("ts") <= F.lit(now).cast("timestamp_ntz")
         rows = table(spark, d, "events").filter((F.col("event_type") == kind) & known)
         parts.append(quality.freshness(rows, kind, "ts", now))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- governance ---------------------------------------------------------------------------------
