@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import discard, stored
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether each ``u`` has one ``v`` and none is a ``v`` itself, so that ``v``, the smaller one, is its root."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("node").agg(F.sum("leaf").alias("leaf"), F.max("centre").alias("centre"))
+    return ends.filter("leaf > 1 or (leaf > 0 and centre > 0)").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -21,8 +25,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(links.filter("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     ).distinct(), "edges")
-    state = _state(edges)
-    while True:
+    while not _all_stars(edges):
         # Large star: larger neighbours of u go to the least node around u.
         around = stored(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
         least = around.withColumnRenamed("u", "w")
@@ -38,8 +41,5 @@ def components(links: DataFrame) -> DataFrame:
         moved = inward.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stored(moved.union(least.select(F.col("w").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
         discard(large, around)
-        previous, state = state, _state(edges)
-        if state == previous:
-            break
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select("node", F.col("node").alias("root")))
