@@ -32,7 +32,19 @@ def _splits(first: int, last: int):
     return Window.partitionBy(FILE).orderBy("start").rowsBetween(first, last)
 
 
-START, END = Window.unboundedPreceding, Window.unboundedFollowing
+# What lies ahead is taken from the last line backwards: Spark evaluates a frame that ends unbounded anew for every row.
+
+
+def _ahead(order: list[str], last: int):
+    """From the end of the split back to ``last`` lines before the current one in that order; the nearest line is the last of the frame."""
+    return Window.partitionBy(*SPLIT).orderBy(*[F.desc(c) for c in order]).rowsBetween(START, last)
+
+
+def _splits_ahead():
+    return Window.partitionBy(FILE).orderBy(F.desc("start")).rowsBetween(START, -1)
+
+
+START = Window.unboundedPreceding
 
 
 # --- csv ----------------------------------------------------------------------------------------
@@ -88,11 +100,11 @@ def csv_records(lines: DataFrame) -> DataFrame:
     told = F.when((F.col("before") == 1) & (F.col("inside") != "S"), F.col("inside") != "X")
     known = known.withColumn("told", told)
     known = known.withColumns({
-        "next": F.first("told", ignorenulls=True).over(_within(order, 0, END)), "later": F.first("told", ignorenulls=True).over(_within(order, 1, END)),
+        "next": F.last("told", ignorenulls=True).over(_ahead(order, 0)), "later": F.last("told", ignorenulls=True).over(_ahead(order, -1)),
     })
     stated = known = stage(known.select(*SPLIT, "at", "opens", "inside", "before", "told", "next", "later", "head_at"), "lines")
     firsts = known.groupBy(*SPLIT).agg(F.min_by("told", F.when(F.col("told").isNotNull(), F.col("at"))).alias("told"))
-    beyond = firsts.select(*SPLIT, F.first("told", ignorenulls=True).over(_splits(1, END)).alias("beyond"))
+    beyond = firsts.select(*SPLIT, F.last("told", ignorenulls=True).over(_splits_ahead()).alias("beyond"))
     known = known.join(beyond, SPLIT)
     goes_on = (F.col("before") == 1) & F.coalesce("next", "beyond", F.lit(False))
     known = known.withColumn("goes_on", goes_on)
@@ -176,10 +188,10 @@ def json_records(lines: DataFrame) -> DataFrame:
     floor = F.least("floor", F.col("base") + F.col("lowest"))
     before = F.coalesce(F.lag(F.col("base") + F.col("level") - floor).over(Window.partitionBy(*SPLIT).orderBy(*order)), F.col("base") - F.col("floor"))
     cut = cut.withColumn("before", before).withColumn("low", F.col("base") + F.col("level") - F.col("rise") + F.col("dip") - floor)
-    cut = cut.withColumn("ahead", F.min("low").over(_within(order, 0, END)))
+    cut = cut.withColumn("ahead", F.min("low").over(_ahead(order, 0)))
     lowest = cut = stage(cut.select(*SPLIT, *order, "brace", "before", "low", "ahead"), "lines")
     lows = cut.groupBy(*SPLIT).agg(F.min("low").alias("low"))
-    cut = cut.join(lows.select(*SPLIT, F.min("low").over(_splits(1, END)).alias("beyond")), SPLIT)
+    cut = cut.join(lows.select(*SPLIT, F.min("low").over(_splits_ahead()).alias("beyond")), SPLIT)
     cut = cut.withColumn("top", F.col("before") <= F.least("ahead", "beyond"))
     # Text outside of any value begins a record unless the one before it still has an open bracket.
     begun = F.when(F.col("top") & F.col("brace"), F.col("before"))
