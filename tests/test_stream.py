@@ -51,3 +51,16 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     rows = staging.stg_order_items(deliveries(spark, [("1", "p", 1, 1)]))
     assert table.upsert(rows, "order_item_id", batch_id="s#0")
     assert table.upsert(rows, "order_item_id", batch_id="s#0") is None
+
+
+def test_outdated_deliveries_rewrite_nothing(spark, tmp_path):
+    from tradewind.sources.tables import StoredTable
+
+    table = StoredTable(spark, f"{tmp_path}/held", bucket_by="k", buckets=2)
+    shape = "k string, v int, at int"
+    table.upsert(spark.createDataFrame([("a", 1, 5), ("b", 1, 5), ("c", 1, None), (None, 1, 5)], shape), "k", "at", "1")
+    before = table.listing()["parts"]
+    table.upsert(spark.createDataFrame([("a", 2, 4), ("b", 2, None)], shape), "k", "at", "2")
+    assert table.listing()["parts"] == before and table.has_batch("2")
+    table.upsert(spark.createDataFrame([("a", 3, 4), ("b", 3, 5), ("c", 3, 1), ("d", 3, 1), (None, 3, 9)], shape), "k", "at", "3")
+    assert sorted((r.k or "", r.v) for r in table.read().collect()) == [("", 1), ("", 3), ("a", 1), ("b", 3), ("c", 3), ("d", 3)]

@@ -26,6 +26,11 @@ def upsert(target: DataFrame, delta: DataFrame, key: str | list[str]) -> DataFra
     return union_padded(kept, delta)
 
 
+def is_newer(version: str) -> Column:
+    """A delta row's ``version`` displaces ``_held``: a later or equal one, or any if none is held."""
+    return F.coalesce(F.col(version) >= F.col("_held"), F.col("_held").isNull())
+
+
 def upsert_if_newer(target: DataFrame, delta: DataFrame, key: str, version: str) -> DataFrame:
     """Upsert that lets an older re-delivery lose: the row with the later ``version`` wins.
 
@@ -34,10 +39,7 @@ def upsert_if_newer(target: DataFrame, delta: DataFrame, key: str, version: str)
     existing = target.select(key, F.col(version).alias("_held")).withColumn("_known", F.lit(True))
     newer = (
         delta.join(existing, key, "left")
-        .filter(
-            F.col("_known").isNull()
-            | F.coalesce(F.col(version) >= F.col("_held"), F.col("_held").isNull())
-        )
+        .filter(F.col("_known").isNull() | is_newer(version))
         .drop("_held", "_known")
     )
     return upsert(target, newer, key)

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.operators.dedup import refuse_duplicates
-from tradewind.operators.upsert import upsert, upsert_if_newer
+from tradewind.operators.upsert import is_newer, upsert
 from tradewind.functions.casts import quoted
-from tradewind.session import cut_lineage
+from tradewind.session import stage, unstage
 
 WHOLE = "whole"
 BUCKET, FILE = "_bucket", "_file"
@@ -245,22 +245,40 @@ class StoredTable:
     ) -> dict | None:
         """Merge rows by key; with ``version`` an older re-delivery does not displace a later row.
 
-        Only files that hold a matched old row are rewritten; other rows are added beside them.
+        Only files that hold an old row that is displaced are rewritten; other rows are added beside them.
         """
         if batch_id and self.has_batch(batch_id):
             return None
-        delta = cut_lineage(delta)
-        refuse_duplicates(delta, key, self.root)
-        held = self.listing()
-        if held is None:
-            return self._publish(delta, None, batch_id)
-        files = self._touched(held, delta, key)
-        target = self._files(held, [f for found in files.values() for f in sorted(found)])
-        merged = upsert_if_newer(target, delta, key, version) if version else upsert(target, delta, key)
-        return self._publish(merged, set(), batch_id, files=files)
+        delta = stage(delta, "delta")
+        staged = [delta.staged_at]
+        try:
+            refuse_duplicates(delta, key, self.root)
+            held = self.listing()
+            if held is None:
+                return self._publish(delta, None, batch_id)
+            won = delta
+            if version:
+                # Versions are compared on narrow rows; what an older re-delivery fails to displace is neither moved nor rewritten.
+                older = self._near(held, delta, key)[0].select(quoted(key), F.col(quoted(version)).alias("_held"), F.lit(True).alias("_known"))
+                met = delta.select(quoted(key), quoted(version)).join(older, key, "left")
+                judged = stage(met.select(quoted(key), F.col("_known").isNotNull().alias("_met"), (F.col("_known").isNull() | is_newer(version)).alias("_wins")), "judged")
+                staged.append(judged.staged_at)
+                won = judged.filter("_met and _wins").select(quoted(key))
+                lost = judged.filter("not _wins").select(quoted(key))
+                if judged.filter("_wins").isEmpty():
+                    delta = delta.limit(0)
+                elif not lost.isEmpty():
+                    delta = delta.join(lost.join(won, key, "left_anti"), key, "left_anti")
+            files = self._touched(held, won, key)
+            return self._publish(upsert(self._listed(held, files), delta, key), set(), batch_id, files=files)
+        finally:
+            unstage(self.spark, *staged)
 
-    def _touched(self, held: dict, delta: DataFrame, key: str) -> dict[str, set[str]]:
-        """By label, the files in force with a key of ``delta``; reads the key column of its buckets and key range."""
+    def _listed(self, held: dict, files: dict[str, set[str]]) -> DataFrame:
+        return self._files(held, [f for found in files.values() for f in sorted(found)])
+
+    def _near(self, held: dict, delta: DataFrame, key: str) -> tuple[DataFrame, dict[str, str]]:
+        """Rows in force, with their file, in the buckets and key range of ``delta``; the labels of the directories and files looked into."""
         bucketed = self.bucket_by == key and "buckets" in held
         found = [F.min(quoted(key)).alias("low"), F.max(quoted(key)).alias("high")]
         if bucketed:
@@ -270,8 +288,12 @@ class StoredTable:
         label_of = {p: label for label in labels for p in held["parts"][label]}
         kind = delta.schema[key].dataType
         within = F.col(quoted(key)).between(F.lit(seen.low).cast(kind), F.lit(seen.high).cast(kind))
-        rows = self._files(held, list(label_of), with_file=True).filter(within).select(quoted(key), FILE)
-        hit = rows.join(delta.select(quoted(key)), key, "left_semi").select(FILE).distinct().collect()
+        return self._files(held, list(label_of), with_file=True).filter(within), label_of
+
+    def _touched(self, held: dict, delta: DataFrame, key: str) -> dict[str, set[str]]:
+        """By label, the files in force with a key of ``delta``; reads the key column of its buckets and key range."""
+        rows, label_of = self._near(held, delta, key)
+        hit = rows.select(quoted(key), FILE).join(delta.select(quoted(key)), key, "left_semi").select(FILE).distinct().collect()
         inside = self._path(f"{self.root}/data").toUri().getPath().rstrip("/") + "/"
         files: dict[str, set[str]] = {}
         for row in hit:
