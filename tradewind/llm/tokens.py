@@ -13,6 +13,8 @@ BORDER = re.compile(r"(?<=\S)(?=[ \n]\S)")
 DEFAULT_FILE = "byte_bpe_50k.json"
 #: Words that go to the tokenizer as the lines of one text.
 LINES = 500
+#: Such texts that are with the tokenizer at once; an encoding is some hundred times as large as its ids.
+GROUPS = 32
 #: Bytes of a cached word beside its letters and ids.
 ENTRY = 180
 
@@ -41,8 +43,9 @@ class WordEncoder:
 
     A byte-level vocabulary merges within pre-tokens only, and a single space or line break between
     two other characters begins one. So ids of words, each with the space before it, stand together
-    as the ids of the text. Words repeat, hence a cache: ``capacity`` bounds its bytes, not the
-    result, as words beyond it are encoded again for each batch. A text with other white space is
+    as the ids of the text. Words repeat, hence a cache in two generations: ``capacity`` bounds its bytes, not the
+    result. When the young one is half of it, it becomes the old one, whose words come back when they are seen again; those
+    that were not, such as keys and hashes, go with it and are encoded again. A text with other white space is
     cut only where the same holds, and its pieces are encoded as they are. A text that holds an added token of
     the vocabulary, such as its end mark, is encoded whole, as the library finds these before anything else.
     """
@@ -52,12 +55,14 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.capacity, self.size = capacity, 0
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})  # at line starts, after a space
+        self.capacity = capacity
+        self.forget()
         self.line_break = self._ids(["\n"])[0]
 
     def forget(self) -> None:
-        self.known, self.size = ({}, {}), 0
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})  # at line starts, after a space
+        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.size = 0
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -68,16 +73,18 @@ class WordEncoder:
         wide = [w for w in words if len(w) > LINES]
         learnt = dict(zip(wide, self._ids([before + w for w in wide]), strict=True))
         words = [w for w in words if len(w) <= LINES]
-        groups = [words[i : i + LINES] for i in range(0, len(words), LINES)]
-        found = self.tokenizer.encode_batch_fast([before + f"\n{before}".join(g) for g in groups], add_special_tokens=False)
+        every = [words[i : i + LINES] for i in range(0, len(words), LINES)]
         mark = int.from_bytes(self.line_break, "little")
-        for group, encoding in zip(groups, found, strict=True):
-            ids = np.array(encoding.ids, "<u4")
-            ends = [*np.flatnonzero(ids == mark).tolist(), len(ids)]
-            raw, first = ids.tobytes(), 0
-            for word, end in zip(group, ends, strict=True):
-                learnt[word] = raw[4 * first : 4 * end]
-                first = end + 1
+        for begin in range(0, len(every), GROUPS):
+            groups = every[begin : begin + GROUPS]
+            found = self.tokenizer.encode_batch_fast([before + f"\n{before}".join(g) for g in groups], add_special_tokens=False)
+            for group, encoding in zip(groups, found, strict=True):
+                ids = np.array(encoding.ids, "<u4")
+                ends = [*np.flatnonzero(ids == mark).tolist(), len(ids)]
+                raw, first = ids.tobytes(), 0
+                for word, end in zip(group, ends, strict=True):
+                    learnt[word] = raw[4 * first : 4 * end]
+                    first = end + 1
         return learnt
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -98,8 +105,9 @@ class WordEncoder:
             else:
                 cut.append(BORDER.split(text))
         fresh = [list(s.difference(k)) for s, k in zip(seen, self.known, strict=True)]
-        for known, words, before in zip(self.known, fresh, ("", " "), strict=True):
-            learnt = self._learn(words, before)
+        for known, older, words, before in zip(self.known, self.older, fresh, ("", " "), strict=True):
+            learnt = {w: older[w] for w in words if w in older}
+            learnt |= self._learn([w for w in words if w not in learnt], before)
             known.update(learnt)
             self.size += sum(len(w) + len(ids) + ENTRY for w, ids in learnt.items())
         first, rest = self.known
@@ -111,6 +119,6 @@ class WordEncoder:
                 out.append(b"".join(self._ids(parts)))
             else:
                 out.append(self.line_break.join(first[w[0]] + b"".join(map(rest.__getitem__, w[1:])) for w in parts))
-        if self.size > self.capacity:
-            self.forget()
+        if self.size > self.capacity // 2:
+            self.known, self.older, self.size = ({}, {}), self.known, 0
         return out
