@@ -2,8 +2,9 @@
 
 Texts count as lower-case letters with single spaces between runs of them. Four-character sequences are
 counted by Spark; lower orders use continuation counts, so the model follows from those counts alone. Each
-order is a sorted array of hashed sequences with one log-probability per language. The language of least
-cross-entropy per character wins.
+order is a sorted array of packed sequences with one log-probability per language. The language of least
+cross-entropy per character wins. Tasks hold the most frequent sequences of four; what the others add to a
+text's sums is joined to it.
 """
 
 from __future__ import annotations
@@ -16,12 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm import rest
 from tradewind.llm.common import steps, stored
 
 ORDER = 4
 DISCOUNT = 0.75
-#: Sequences per language in the model, the most frequent ones; others are left to the backoff.
+#: Sequences per language that tasks hold in memory, the most frequent ones; the others are joined.
 MAX_GRAMS = 200_000
+#: Bytes of text that one step works on; its arrays take some hundred times as much.
+STEP = 1 << 20
 UNKNOWN = "und"
 #: Sharpness of the score: natural units of cross-entropy per character are multiplied by it.
 SHARPNESS = 8.0
@@ -76,7 +80,7 @@ def count_sequences(labelled: DataFrame) -> DataFrame:
     """Occurrences of each sequence per language of ``labelled`` (text, lang)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
+        for batch in steps(batches, size=STEP):
             langs = batch.column(batch.schema.get_field_index("lang")).to_pylist()
             packed, row = sequences(*characters(batch.column(batch.schema.get_field_index("text")).to_pylist())[:2])
             names, kinds = np.unique(np.array(langs, object), return_inverse=True)
@@ -124,8 +128,8 @@ class Model:
             out[missing] = lower + weight
         return out
 
-    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Natural cross-entropy per character by text and language, and whether a text has a letter."""
+    def totals(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sum of log-probabilities by text and language, their number, and whether a text has a letter."""
         points, begins, has = characters(texts)
         packed, row = sequences(points, begins)
         total = np.zeros((len(texts), len(self.langs)))
@@ -141,10 +145,18 @@ class Model:
                 value = sum(int(c) << SHIFT * (k - j) for j, c in enumerate(own[: k + 1].tolist()))
                 total[t] += self.logs_of(np.array([value], np.uint64), ORDER - 1 - k)[0]
             n[t] = len(own) - 1
-        return -total / np.maximum(n, 1)[:, None], has
+        return total, n, has
 
 
-def estimate(langs: list[str], tables: list[tuple[np.ndarray, np.ndarray]]) -> Model:
+@dataclass(frozen=True)
+class Whole:
+    """One language's counts over all its sequences of four, where tables hold some of them only."""
+
+    shorter: tuple[np.ndarray, np.ndarray]  # sorted sequences of three, and in how many contexts each stands
+    contexts: tuple[np.ndarray, np.ndarray, np.ndarray]  # sorted contexts, their occurrences and distinct sequences
+
+
+def estimate(langs: list[str], tables: list[tuple[np.ndarray, np.ndarray]], whole: list[Whole] | None = None) -> Model:
     """Kneser-Ney models from each language's sorted sequences and counts."""
     levels: list[Level] = []
     sizes = range(ORDER, 0, -1)
@@ -153,12 +165,13 @@ def estimate(langs: list[str], tables: list[tuple[np.ndarray, np.ndarray]]) -> M
         counts[i, ORDER] = grams, n.astype(float)
         for size in range(ORDER - 1, 0, -1):  # in how many contexts each shorter sequence stands
             shorter = counts[i, size + 1][0] & np.uint64((1 << SHIFT * size) - 1)
-            grams_below, n_below = np.unique(shorter, return_counts=True)
+            grams_below, n_below = whole[i].shorter if whole and size == ORDER - 1 else np.unique(shorter, return_counts=True)
             counts[i, size] = grams_below, n_below.astype(float)
     floor = np.array([-np.log(max(len(counts[i, 1][0]), 1) + 1.0) for i in range(len(langs))])
     for size in reversed(sizes):
         grams = np.unique(np.concatenate([counts[i, size][0] for i in range(len(langs))]))
-        contexts = np.unique(grams >> np.uint64(SHIFT))
+        beyond = [w.contexts[0] for w in whole or [] if size == ORDER]
+        contexts = np.unique(np.concatenate([grams >> np.uint64(SHIFT), *beyond]))
         below = Model(tuple(langs), tuple(levels), floor)
         logs, backoff = np.zeros((len(grams), len(langs))), np.zeros((len(contexts), len(langs)))
         lower = _shifted(below, grams, size)
@@ -167,6 +180,10 @@ def estimate(langs: list[str], tables: list[tuple[np.ndarray, np.ndarray]]) -> M
             context = np.searchsorted(contexts, own >> np.uint64(SHIFT))
             total = np.bincount(context, n, len(contexts))
             kinds = np.bincount(context, minlength=len(contexts))
+            if beyond:
+                at, (_, all_n, all_kinds) = np.searchsorted(contexts, beyond[i]), whole[i].contexts
+                total, kinds = np.zeros(len(contexts)), np.zeros(len(contexts))
+                total[at], kinds[at] = all_n, all_kinds
             weight = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
             backoff[:, i] = np.log(weight)
             kept = np.zeros(len(grams))
@@ -184,17 +201,64 @@ def _shifted(below: Model, grams: np.ndarray, size: int) -> np.ndarray:
     return full.logs_of(grams & np.uint64((1 << SHIFT * (size - 1)) - 1), ORDER - size + 1)
 
 
-def fit(labelled: DataFrame) -> Model | None:
-    """The model of all rows of ``labelled`` (text, lang not null); None without any sequence."""
+def sorted_table(df: DataFrame, key: str, *columns: str) -> tuple[np.ndarray, ...]:
+    found = df.select(key, *columns).toArrow()
+    keys = found.column(0).to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], *(found.column(c).to_numpy()[order] for c in columns)
+
+
+def others(counted: DataFrame, langs: list[str], model: Model, whole: list[Whole], held: DataFrame) -> DataFrame:
+    """Sequences that ``model`` does not hold: ``key``, and ``value``, what each adds by language to what the backoff gives it."""
+    totals = np.zeros((len(model.levels[0].contexts), len(langs)))
+    for i, w in enumerate(whole):
+        totals[np.searchsorted(model.levels[0].contexts, w.contexts[0]), i] = w.contexts[1]
+    sent = counted.sparkSession.sparkContext.broadcast((model, totals))
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, totals = sent.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            grams = batch.column(0).to_numpy().view(np.uint64)
+            n = batch.column(1).flatten().to_numpy().reshape(len(grams), -1)
+            at = np.searchsorted(model.levels[0].contexts, grams >> np.uint64(SHIFT))
+            kept = np.maximum(n - DISCOUNT, 0) / np.maximum(totals[at], 1)
+            backoff = model.logs_of(grams)
+            value = np.log(kept + np.exp(backoff)) - backoff
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(list(value), pa.list_(pa.float64()))], names=["key", "value"])
+
+    by_lang = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)) for lang in langs]
+    rows = counted.join(F.broadcast(held), "gram", "left_anti").groupBy("gram").agg(F.array(*by_lang).alias("n"))
+    return stored(rows.mapInArrow(values, "key long, value array<double>"), "others")
+
+
+def fit(labelled: DataFrame) -> tuple[Model | None, DataFrame | None]:
+    """The model of all rows of ``labelled`` (text, lang not null), None without any sequence; and the sequences beyond
+    what it holds, with values to add, if there are any. Those of up to three characters are held whole."""
     counted = stored(count_sequences(labelled), "grams")
-    langs = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
-    tables = []
-    for lang in langs:
-        top = counted.filter(F.col("lang") == lang).orderBy(F.desc("n"), "gram").limit(MAX_GRAMS).toArrow()
-        grams = top.column("gram").to_numpy().view(np.uint64)
-        order = np.argsort(grams)
-        tables.append((grams[order], top.column("n").to_numpy()[order]))
-    return estimate(langs, tables) if langs else None
+    sizes = {r["lang"]: r["count"] for r in counted.groupBy("lang").count().collect()}
+    langs = sorted(sizes)
+    if not langs:
+        return None, None
+    of = [counted.filter(F.col("lang") == lang) for lang in langs]
+    top = [c.orderBy(F.desc("n"), "gram").limit(MAX_GRAMS) for c in of]
+    tables = [sorted_table(t, "gram", "n") for t in top]
+    if max(sizes.values()) <= MAX_GRAMS:
+        return estimate(langs, tables), None
+    # A sequence is held for all languages or for none.
+    grams = np.unique(np.concatenate([t[0] for t in tables]))
+    held = counted.sparkSession.createDataFrame(pa.table({"gram": grams.view(np.int64)}))
+    tables = [sorted_table(c.join(F.broadcast(held), "gram", "left_semi"), "gram", "n") for c in of]
+    low = F.col("gram").bitwiseAND(F.lit((1 << SHIFT * (ORDER - 1)) - 1))
+    whole = [Whole(
+        sorted_table(c.groupBy(low.alias("gram")).agg(F.count(F.lit(1)).alias("n")), "gram", "n"),
+        sorted_table(c.groupBy(F.shiftrightunsigned("gram", SHIFT).alias("gram")).agg(
+            F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")), "gram", "n", "kinds"),
+    ) for c in of]
+    model = estimate(langs, tables, whole)
+    return model, others(counted, langs, model, whole, held)
 
 
 def detect(docs: DataFrame, training: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -209,39 +273,82 @@ def detect(docs: DataFrame, training: DataFrame, keep: list[str] | None = None)
     """
     keep = keep or ["doc_id"]
     training = training.filter("lang is not null and text is not null").select("text", "lang")
-    model = fit(training)
+    model, beyond = fit(training)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def results(texts: list[str | None], own: list[str] | None = None) -> tuple[list, np.ndarray, np.ndarray]:
+    def results(total: np.ndarray, n: np.ndarray, has: np.ndarray, own: list[str] | None = None) -> tuple[list, np.ndarray, np.ndarray]:
         if sent.value is None:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
-        entropy, has = sent.value.entropies(texts)
+            return [UNKNOWN] * len(n), np.zeros(len(n)), np.zeros(len(n))
+        entropy = -total / np.maximum(n, 1)[:, None]
         if own is not None:
             at = np.searchsorted(np.array(sent.value.langs), own)
-            return [], np.zeros(0), np.where(has, entropy[np.arange(len(texts)), at], 0.0)
+            return [], np.zeros(0), np.where(has, entropy[np.arange(len(n)), at], 0.0)
         best = entropy.argmin(axis=1)
-        least = entropy[np.arange(len(texts)), best]
+        least = entropy[np.arange(len(n)), best]
         share = 1 / np.exp(-SHARPNESS * (entropy - least[:, None])).sum(axis=1)
         names = [sent.value.langs[b] if h else UNKNOWN for b, h in zip(best.tolist(), has.tolist(), strict=True)]
         return names, np.where(has, share, 0.0), np.where(has, least, 0.0)
 
+    def totals(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if sent.value is None:
+            return np.zeros((len(texts), 0)), np.zeros(len(texts)), np.zeros(len(texts), bool)
+        return sent.value.totals(texts.to_pylist())
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row with the sums of the sequences that tasks hold, in place of its text."""
+        for batch in steps(batches, "__text", STEP):
+            at = batch.schema.get_field_index("__text")
+            total, n, has = totals(batch.column(at))
+            yield batch.remove_column(at).append_column(
+                "__total", pa.array(list(total), pa.list_(pa.float64()))).append_column(
+                "__n", pa.array(n.astype(np.int64))).append_column("__has", pa.array(has))
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, tuple]]:
+        """Rows as they are, and their sums: from the text, or from those of all sequences."""
+        if beyond_schema is None:
+            for batch in steps(batches, "__text", STEP):
+                at = batch.schema.get_field_index("__text")
+                yield batch.remove_column(at), totals(batch.column(at))
+        else:
+            for batch in batches:
+                total, n, has = (batch.column(batch.schema.get_field_index(c)) for c in ("__total", "__n", "__has"))
+                total = total.flatten().to_numpy().reshape(batch.num_rows, -1)
+                yield batch.select(list(range(batch.num_columns - 3))), (total, n.to_numpy(), np.asarray(has))
+
     def worst(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
-            _, _, least = results(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        for batch, sums in measured(batches):
+            _, _, least = results(*sums, batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array([least.max() if len(least) else 0.0])], names=["entropy"])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "__text"):
-            at = batch.schema.get_field_index("__text")
-            names, score, least = results(batch.column(at).to_pylist())
-            yield batch.remove_column(at).append_column("lang_pred", pa.array(names, pa.string())).append_column(
+        for batch, sums in measured(batches):
+            names, score, least = results(*sums)
+            yield batch.append_column("lang_pred", pa.array(names, pa.string())).append_column(
                 "score", pa.array(score)).append_column("entropy", pa.array(least))
 
+    beyond_schema = None if beyond is None else "__total array<double>, __n long, __has boolean"
+
+    def with_sums(rows: DataFrame) -> DataFrame:
+        """``rows`` with their text, or with the sums over all sequences in its place."""
+        if beyond is None:
+            return rows
+        kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("__text").schema)
+        keys = ", ".join(f"{c} long" for c in rest.TEXT_KEY)
+        found = rows.select("*", *rest.text_key(F.col("__text"))).select(
+            *rows.drop("__text").columns, *rest.TEXT_KEY, "__text").mapInArrow(summed, f"{kept}, {keys}, {beyond_schema}")
+        keys_of = lambda texts: sequences(*characters(texts.to_pylist())[:2])
+        more = rest.sums(rows.select(F.col("__text").alias("text")), keys_of, beyond, len(model.langs), STEP)
+        added = F.zip_with("__total", "__more", lambda a, b: a + b / rest.PARTS)
+        return found.join(more, rest.TEXT_KEY, "left").withColumn(
+            "__total", F.when(F.col("__more").isNull(), F.col("__total")).otherwise(added)).select(
+            *rows.drop("__text").columns, "__total", "__n", "__has")
+
     limit = 0.0
     if model is not None:
-        limit = training.mapInArrow(worst, "entropy double").agg(F.max("entropy")).first()[0] or 0.0
-    found = docs.select(*keep, F.col("text").alias("__text")).mapInArrow(
+        own = with_sums(training.select("lang", F.col("text").alias("__text")))
+        limit = own.mapInArrow(worst, "entropy double").agg(F.max("entropy")).first()[0] or 0.0
+    found = with_sums(docs.select(*keep, F.col("text").alias("__text"))).mapInArrow(
         predict, f"{schema}, lang_pred string, score double, entropy double"
     )
     return found.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("entropy") > limit))
