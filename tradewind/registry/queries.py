@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from tradewind.plans import checks, intermediate, marts, staging
 from tradewind.registry import shapes
 from tradewind.registry.landings import ingest_csv_drift, ingest_csv_orders, ingest_json_layouts, ingest_json_log  # noqa: F401
 from tradewind.registry.shapes import AS_OF, AS_OF_TS, table
-from tradewind.session import cut_lineage, ensure_checkpoint_dir, side_by_side
+from tradewind.session import ensure_checkpoint_dir, side_by_side, stage
 from tradewind.sources import seeds
 from tradewind.sources.tables import StoredTable
 from tradewind.streaming import feed
@@ -412,16 +412,23 @@ def rolling_spend_alert(spark, d):
 def dq_suite(spark, d):
     """Every declared check with its number of failures.
 
-    Models are stored before they are checked, as a run does, so no check builds them again.
+    Models are stored before they are checked, as a run does, so no check builds them again, and by column, as a
+    check reads few of them. Those that don't need each other are built at the same time.
     """
     hot = hot_customers(spark, d)
-    staged = [stg_orders, stg_customers, stg_items, stg_products]
-    orders, customers, items, products = side_by_side(
-        spark, lambda model: cut_lineage(model(spark, d)), staged
+
+    def built(*models: Callable[[], DataFrame]) -> list[DataFrame]:
+        return side_by_side(spark, lambda model: stage(model(), "model"), list(models))
+
+    orders, customers, items, products, versions = built(
+        *[partial(model, spark, d) for model in (stg_orders, stg_customers, stg_items, stg_products, second_snapshot)]
+    )
+    rows, dim_products = built(
+        lambda: intermediate.int_orders(orders, customers, items, hot),
+        lambda: marts.dim_products(products, seeds.product_categories(spark)),
     )
-    rows = cut_lineage(intermediate.int_orders(orders, customers, items, hot))
     value = intermediate.int_lifetime_value(rows, AS_OF)
-    dim = cut_lineage(marts.dim_customers(second_snapshot(spark, d), value))
+    dim = stage(marts.dim_customers(versions, value), "model")
     tables = {
         "raw_orders": shapes.raw_orders(spark, d),
         "raw_customers": shapes.raw_customers(spark, d),
@@ -431,9 +438,9 @@ def dq_suite(spark, d):
         "stg_customers": customers,
         "stg_order_items": items,
         "stg_products": products,
-        "fct_orders": cut_lineage(marts.fct_orders(rows, dim, hot=hot)),
+        "fct_orders": stage(marts.fct_orders(rows, dim, hot=hot), "model"),
         "dim_customers": dim,
-        "dim_products": cut_lineage(marts.dim_products(products, seeds.product_categories(spark))),
+        "dim_products": dim_products,
     }
     return quality.count_failures(checks.all_checks(AS_OF_TS), tables)
 
