@@ -34,3 +34,12 @@ def test_encodings_are_held_in_bounded_number():
     words.tokenizer = Counted()
     words.encode([" ".join(f"w{i}" for i in range(tokens.LINES * 100))])
     assert max(sizes) <= 32
+
+
+def test_texts_of_any_white_space_are_encoded_as_whole_ones():
+    words = tokens.WordEncoder(tokens.tokenizer_path(), 48 << 20)
+    texts = ["one", "one two", "one\ntwo three", " one", "one ", "one  two", "one\n\ntwo", "one\ttwo", "one two", "\n", " ", "one \ntwo", "a\r\nb", ""]
+    for _ in range(2):
+        for text, raw in zip(texts, words.encode(texts), strict=True):
+            whole = words.tokenizer.encode(text, add_special_tokens=False).ids
+            assert raw == b"".join(n.to_bytes(4, "little") for n in whole)

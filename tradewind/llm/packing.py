@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import steps, stored
-from tradewind.llm.tokens import WordEncoder, encoder, tokenizer_path
+from tradewind.llm.tokens import STEP, WordEncoder, encoder, tokenizer_path
 
 PIECES = """doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class int, part int,
 local_rank long, ids binary"""
@@ -140,7 +140,7 @@ def encode_pieces(docs: DataFrame, length: int, grain: int, end_id: int, tokeniz
         width = "<u2" if words.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         ranks = np.zeros(length // grain + 1, np.int64).tolist()
         end = np.array([end_id], "<u4").tobytes()
-        for batch in steps(batches):
+        for batch in steps(batches, size=STEP):
             rows = []
             for doc_id, raw in zip(batch.column(0).to_pylist(), words.encode(batch.column(1).to_pylist()), strict=True):
                 raw += end

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import steps, stored, work_path
-from tradewind.llm.tokens import WordEncoder, encoder, tokenizer_path
+from tradewind.llm.tokens import STEP, WordEncoder, encoder, tokenizer_path
 
 MAGIC = b"TWIDS\x00\x00\x01"
 #: magic, bytes per id, documents, distinct keys, ids, levels, bits in all levels.
@@ -177,7 +177,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str | None = None, end_
             }
 
         rows = []
-        for batch in steps(batches):
+        for batch in steps(batches, size=STEP):
             keys.append(batch.column(0).fill_null(NULL_KEY).to_numpy(zero_copy_only=False).astype(np.int64))
             for raw in words.encode(batch.column(1).to_pylist()):
                 ids.append(np.concatenate([np.frombuffer(raw, "<u4"), end]).astype(f"<u{width}"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import filterfalse, islice
 
 import numpy as np
 
@@ -15,6 +16,8 @@ DEFAULT_FILE = "byte_bpe_50k.json"
 LINES = 500
 #: Such texts that are with the tokenizer at once; an encoding is some hundred times as large as its ids.
 GROUPS = 32
+#: Bytes of text that one step encodes.
+STEP = 1 << 20
 #: Bytes of a cached word beside its letters and ids.
 ENTRY = 180
 
@@ -89,22 +92,29 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null and empty texts have none."""
-        seen: tuple[set[str], set[str]] = (set(), set())
+        fresh: tuple[set[str], set[str]] = (set(), set())
+        first_known, rest_known = (k.__contains__ for k in self.known)
         cut: list[list[list[str]] | list[str] | None] = []
         for text in texts:
             if not text:
                 cut.append(None)
-            elif any(token in text for token in self.added):
+                continue
+            if any(token in text for token in self.added):
                 cut.append([text])
-            elif " ".join(text.split()) == text.replace("\n", " "):
+                continue
+            words = text.split()
+            plain = " ".join(words)
+            if plain == text:
+                lines = [words]
+            elif plain == text.replace("\n", " "):
                 lines = [line.split(" ") for line in text.split("\n")]
-                for words in lines:
-                    seen[0].add(words[0])
-                    seen[1].update(words[1:])
-                cut.append(lines)
             else:
                 cut.append(BORDER.split(text))
-        fresh = [list(s.difference(k)) for s, k in zip(seen, self.known, strict=True)]
+                continue
+            fresh[0].update(filterfalse(first_known, [words[0] for words in lines]))
+            for words in lines:
+                fresh[1].update(filterfalse(rest_known, islice(words, 1, None)))
+            cut.append(lines)
         for known, older, words, before in zip(self.known, self.older, fresh, ("", " "), strict=True):
             learnt = {w: older[w] for w in words if w in older}
             learnt |= self._learn([w for w in words if w not in learnt], before)
@@ -118,7 +128,7 @@ class WordEncoder:
             elif isinstance(parts[0], str):
                 out.append(b"".join(self._ids(parts)))
             else:
-                out.append(self.line_break.join(first[w[0]] + b"".join(map(rest.__getitem__, w[1:])) for w in parts))
+                out.append(self.line_break.join(first[w[0]] + b"".join(map(rest.__getitem__, islice(w, 1, None))) for w in parts))
         if self.size > self.capacity // 2:
             self.known, self.older, self.size = ({}, {}), self.known, 0
         return out
