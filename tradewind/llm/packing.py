@@ -142,7 +142,7 @@ def encode_pieces(docs: DataFrame, length: int, grain: int, end_id: int, tokeniz
         end = np.array([end_id], "<u4").tobytes()
         for batch in steps(batches, size=STEP):
             rows = []
-            for doc_id, raw in zip(batch.column(0).to_pylist(), words.encode(batch.column(1).to_pylist()), strict=True):
+            for doc_id, raw in zip(batch.column(0).to_pylist(), words.encode(batch.column(1)), strict=True):
                 raw += end
                 total = len(raw) // 4
                 for start in range(0, total, length):

@@ -179,7 +179,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str | None = None, end_
         rows = []
         for batch in steps(batches, size=STEP):
             keys.append(batch.column(0).fill_null(NULL_KEY).to_numpy(zero_copy_only=False).astype(np.int64))
-            for raw in words.encode(batch.column(1).to_pylist()):
+            for raw in words.encode(batch.column(1)):
                 ids.append(np.concatenate([np.frombuffer(raw, "<u4"), end]).astype(f"<u{width}"))
                 held += len(ids[-1]) * width
             if held >= SHARD_BYTES:

@@ -5,19 +5,25 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from contextlib import contextmanager
-from itertools import filterfalse, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: A border no byte-level pre-token crosses: before one space or line break between two other characters.
 BORDER = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: Texts that hold more than words with single spaces or line breaks between them.
+ODD = r"^[ \n]|[ \n]$|[ \n][ \n]|[\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Latin, Greek and Cyrillic letters, digits and marks whose runs are the pre-tokens of a word; the apostrophe begins pre-tokens of its own.
+LETTERS, DIGITS, MARKS = "A-Za-zÀ-ÖØ-öø-ʯΆΈ-ΊΌΎ-ΡΣ-ώЀ-ҁҊ-ӿ", "0-9", r"!-&(-/:-@\[-`{-~"
+RUNS, OF_RUNS = re.compile(f"[{LETTERS}]+|[{DIGITS}]+|[{MARKS}]+"), f"^[{LETTERS}{DIGITS}{MARKS}]+$"
 DEFAULT_FILE = "byte_bpe_50k.json"
-#: Words that go to the tokenizer as the lines of one text.
+#: Words, or runs of words, that go to the tokenizer as one text.
 LINES = 500
 #: Such texts that are with the tokenizer at once; an encoding is some hundred times as large as its ids.
 GROUPS = 32
 #: Bytes of text that one step encodes.
-STEP = 1 << 20
+STEP = 8 << 20
 #: Bytes of a cached word beside its letters and ids.
 ENTRY = 180
 
@@ -51,17 +57,36 @@ class WordEncoder:
     that were not, such as keys and hashes, go with it and are encoded again. A text with other white space is
     cut only where the same holds, and its pieces are encoded as they are. A text that holds an added token of
     the vocabulary, such as its end mark, is encoded whole, as the library finds these before anything else.
+
+    Where the vocabulary's own pre-tokens are runs of letters, digits or marks, words are cut into these here and the library
+    only merges them, which spares it the search for them. Words with other characters are left to it whole.
     """
 
     def __init__(self, path: str, capacity: int) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = Tokenizer(self.tokenizer.model) if self._cuts_runs() else None
+        if self.merges:
+            self.merges.pre_tokenizer = WhitespaceSplit()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.capacity = capacity
         self.forget()
         self.line_break = self._ids(["\n"])[0]
 
+    def _cuts_runs(self) -> bool:
+        """Whether the vocabulary's pre-tokens of every character in question are the runs of :data:`RUNS`."""
+        every = [chr(c) for c in range(0x500) if re.match(OF_RUNS, chr(c))]
+        words = [f"{c}{c}a{c}1{c}.{c}" for c in every]
+        if self.tokenizer.normalizer or self.tokenizer.post_processor or not self.tokenizer.pre_tokenizer:
+            return False
+        wanted = [visible(run) for run in RUNS.findall(words[0])]
+        for word in words[1:]:
+            first, *others = map(visible, RUNS.findall(word))
+            wanted += [SPACE + first, *others]
+        return [run for run, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(" ".join(words))] == wanted
+
     def forget(self) -> None:
         self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})  # at line starts, after a space
         self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
@@ -72,63 +97,141 @@ class WordEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _learn(self, words: list[str], before: str) -> dict[str, bytes]:
-        """Many words as lines of a text: a line break is a token of its own between two words."""
+        """The ids of words after ``before``: of their runs where these are known to be pre-tokens, else of many words as lines of a text."""
         wide = [w for w in words if len(w) > LINES]
         learnt = dict(zip(wide, self._ids([before + w for w in wide]), strict=True))
         words = [w for w in words if len(w) <= LINES]
+        if not self.merges or not words:
+            return learnt | self._lines(words, before)
+        every = pa.array(words, pa.large_string())
+        whole = np.asarray(pc.match_substring_regex(every, OF_RUNS))
+        learnt |= self._lines([words[i] for i in np.flatnonzero(~whole).tolist()], before)
+        every = every.filter(pa.array(whole))
+        parted = pc.utf8_rtrim(pc.replace_substring_regex(every, f"([{LETTERS}]+|[{DIGITS}]+|[{MARKS}]+)", "\\1\n"), "\n")
+        cut = pc.split_pattern(pc.binary_join_element_wise(pa.scalar(before, parted.type), parted, pa.scalar("", parted.type)), "\n")
+        runs = cut.flatten().dictionary_encode()
+        names, known = strings(runs.dictionary), self.known[bool(before)]
+        ids = [known.get(r[len(before) :]) if r.startswith(before) else None for r in names]
+        fresh = [i for i, own in enumerate(ids) if own is None]
+        for i, own in zip(fresh, self._merged([visible(names[i]) for i in fresh]), strict=True):
+            ids[i] = own
+        # A word before a mark mostly stands without it too.
+        learnt |= {names[i][len(before) :]: ids[i] for i in fresh if names[i].startswith(before) and names[i][len(before) :].isalpha()}
+        raw, ends = joined(ids, runs.indices.to_numpy())
+        borders = (4 * ends[cut.offsets.to_numpy()]).tolist()
+        learnt.update(zip(strings(every), [raw[first:last] for first, last in zip(borders, borders[1:])], strict=True))
+        return learnt
+
+    def _merged(self, runs: list[str]) -> list[bytes]:
+        """The ids of each run, written in the vocabulary's characters."""
+        out: list[bytes] = []
+        every = [runs[i : i + LINES] for i in range(0, len(runs), LINES)]
+        for begin in range(0, len(every), GROUPS):
+            groups = [f" {LINE_BREAK} ".join([*group, ""]) for group in every[begin : begin + GROUPS]]
+            for encoding in self.merges.encode_batch_fast(groups, add_special_tokens=False):
+                out += self._between(np.array(encoding.ids, "<u4"))
+        return out
+
+    def _between(self, ids: np.ndarray) -> list[bytes]:
+        """The ids before each line break."""
+        raw, ends = ids.tobytes(), (4 * np.flatnonzero(ids == np.frombuffer(self.line_break, "<u4"))).tolist()
+        return [raw[first:end] for first, end in zip([0, *[e + 4 for e in ends]], ends)]
+
+    def _lines(self, words: list[str], before: str) -> dict[str, bytes]:
+        """Many words as lines of a text: a line break is a token of its own between two words."""
+        learnt = {}
         every = [words[i : i + LINES] for i in range(0, len(words), LINES)]
-        mark = int.from_bytes(self.line_break, "little")
         for begin in range(0, len(every), GROUPS):
             groups = every[begin : begin + GROUPS]
-            found = self.tokenizer.encode_batch_fast([before + f"\n{before}".join(g) for g in groups], add_special_tokens=False)
+            found = self.tokenizer.encode_batch_fast([before + f"\n{before}".join(g) + "\n" for g in groups], add_special_tokens=False)
             for group, encoding in zip(groups, found, strict=True):
-                ids = np.array(encoding.ids, "<u4")
-                ends = [*np.flatnonzero(ids == mark).tolist(), len(ids)]
-                raw, first = ids.tobytes(), 0
-                for word, end in zip(group, ends, strict=True):
-                    learnt[word] = raw[4 * first : 4 * end]
-                    first = end + 1
+                learnt.update(zip(group, self._between(np.array(encoding.ids, "<u4")), strict=True))
         return learnt
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null and empty texts have none."""
-        fresh: tuple[set[str], set[str]] = (set(), set())
-        first_known, rest_known = (k.__contains__ for k in self.known)
-        cut: list[list[list[str]] | list[str] | None] = []
-        for text in texts:
-            if not text:
-                cut.append(None)
-                continue
-            if any(token in text for token in self.added):
-                cut.append([text])
-                continue
-            words = text.split()
-            plain = " ".join(words)
-            if plain == text:
-                lines = [words]
-            elif plain == text.replace("\n", " "):
-                lines = [line.split(" ") for line in text.split("\n")]
-            else:
-                cut.append(BORDER.split(text))
-                continue
-            fresh[0].update(filterfalse(first_known, [words[0] for words in lines]))
-            for words in lines:
-                fresh[1].update(filterfalse(rest_known, islice(words, 1, None)))
-            cut.append(lines)
-        for known, older, words, before in zip(self.known, self.older, fresh, ("", " "), strict=True):
-            learnt = {w: older[w] for w in words if w in older}
-            learnt |= self._learn([w for w in words if w not in learnt], before)
-            known.update(learnt)
-            self.size += sum(len(w) + len(ids) + ENTRY for w, ids in learnt.items())
-        first, rest = self.known
-        out = []
-        for parts in cut:
-            if parts is None:
-                out.append(b"")
-            elif isinstance(parts[0], str):
-                out.append(b"".join(self._ids(parts)))
-            else:
-                out.append(self.line_break.join(first[w[0]] + b"".join(map(rest.__getitem__, islice(w, 1, None))) for w in parts))
+        texts = (pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())).fill_null("")
+        odd = pc.match_substring_regex(texts, ODD)
+        marked = pa.array(np.zeros(len(texts), bool))
+        for token in self.added:
+            marked = pc.or_(marked, pc.match_substring(texts, token))
+        some = pc.and_not(pc.not_equal(texts, ""), pc.or_(odd, marked))
+        out = [b""] * len(texts)
+        for i in np.flatnonzero(pc.or_(odd, marked)).tolist():
+            text = texts[i].as_py()
+            out[i] = b"".join(self._ids([text] if marked[i].as_py() else BORDER.split(text)))
+        for i, raw in zip(np.flatnonzero(some).tolist(), self._of_words(texts.filter(some)), strict=True):
+            out[i] = raw
+        return out
+
+    def _of_words(self, texts: pa.LargeStringArray) -> Iterator[bytes]:
+        """The ids of texts of words with single spaces or line breaks between them.
+
+        A word after a line break stands with it, and each text is read as if it began with one.
+        """
+        if not len(texts):
+            return
+        lines = pc.replace_substring(texts, "\n", " \n")
+        cut = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\n", lines.type), lines, pa.scalar("", lines.type)), " ")
+        coded = cut.flatten().dictionary_encode()
+        words = coded.dictionary
+        after_break = np.asarray(pc.starts_with(words, "\n"))
+        raw = np.empty(len(words), object)
+        for kind, before in enumerate(("", " ")):
+            places = np.flatnonzero(after_break == (kind == 0))
+            own = words.take(pa.array(places))
+            raw[places] = self._look_up(kind, strings(own if kind else pc.utf8_slice_codeunits(own, 1)), before)
+        raw[after_break] = [self.line_break + ids for ids in raw[after_break]]
+        raw = raw.tolist()
+        every, ends = joined(raw, coded.indices.to_numpy())
+        mark = len(self.line_break)
+        borders = (4 * ends[cut.offsets.to_numpy()]).tolist()
+        for begin, end in zip(borders, borders[1:]):
+            yield every[begin + mark : end]
         if self.size > self.capacity // 2:
             self.known, self.older, self.size = ({}, {}), self.known, 0
-        return out
+
+    def _look_up(self, kind: int, words: list[str], before: str) -> list[bytes]:
+        """The ids of each word, which are known from now on."""
+        known, older = self.known[kind], self.older[kind]
+        found = list(map(known.get, words))
+        fresh = [w for w, ids in zip(words, found) if ids is None]
+        if fresh:
+            learnt = {w: ids for w, ids in zip(fresh, map(older.get, fresh)) if ids is not None}
+            learnt |= self._learn([w for w in fresh if w not in learnt] if learnt else fresh, before)
+            known.update(learnt)
+            self.size += sum(map(len, learnt)) + sum(map(len, learnt.values())) + ENTRY * len(learnt)
+            found = [learnt[w] if ids is None else ids for w, ids in zip(words, found)]
+        return found
+
+
+def joined(ids: list[bytes], which: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The entries of ``ids`` that ``which`` numbers, one after another, and their borders in ids."""
+    flat, sizes = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+    starts, of, ends = np.cumsum(sizes) - sizes, sizes[which], np.zeros(len(which) + 1, np.int64)
+    np.cumsum(of, out=ends[1:])
+    kind = np.int32 if max(len(flat), ends[-1]) < 1 << 31 else np.int64
+    places = np.repeat((starts[which] - ends[:-1]).astype(kind), of)
+    places += np.arange(ends[-1], dtype=kind)
+    return flat[places].tobytes(), ends
+
+
+def strings(texts: pa.Array) -> list[str]:
+    """The column as Python strings, without a scalar of Arrow's for each."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character by which byte-level vocabularies write each byte."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return {b: chr(b if b in shown else next(others)) for b in range(256)}
+
+
+BYTES = _byte_letters()
+SPACE, LINE_BREAK = BYTES[0x20], BYTES[0x0A]
+
+
+def visible(run: str) -> str:
+    """A run's bytes in the characters of a byte-level vocabulary."""
+    return run.replace(" ", SPACE) if run.isascii() else run.encode().decode("latin-1").translate(BYTES)
