@@ -34,7 +34,9 @@ SETS = "tag long, n long, s1 long, s2 long"
 #: Words of 64 bits in a sketch: the parity of the shingles hashed to each bit.
 SKETCH = [f"p{i}" for i in range(32)]
 #: Members of a block of a list, and its first shared shingles that tell in which of several lists a pair is given.
-BLOCK, HEADS = 4096, [f"h{i}" for i in range(8)]
+BLOCK, HEADS = 4096, [f"h{i}" for i in range(4)]
+#: Pairs of sets that a task compares at once; pairs for each member, and so many members more, beyond which a block gives a forest of them first.
+AT_ONCE, DENSE, SLACK = 1 << 16, 4, 256
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -194,13 +196,8 @@ def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.filter((100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
-def apart_in_lists(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of members of a list that lie in different components and whose sketches allow the similarity.
-
-    ``lists`` has ``token, grp, node, n, place, root``. Members outside of a list's largest component are compared with all of the list, in
-    blocks of bounded size that are dealt over tasks; only pairs that pass leave a task, and in one list: that of
-    their first shared shingle, or of their group.
-    """
+def mixed_lists(lists: DataFrame) -> DataFrame:
+    """The lists (``token, grp, node, n, place, root``) with members of several components, with the largest one and the numbers of blocks."""
     sizes = lists.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m"))
     parts = stored(sizes.groupBy("token").agg(
         F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("most"), F.sum("m").alias("members"), F.count(F.lit(1)).alias("parts")
@@ -208,14 +205,32 @@ def apart_in_lists(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFram
         F.col("token").alias("of"), "main", F.ceil(F.col("members") / BLOCK).cast("int").alias("wide"),
         F.ceil((F.col("members") - F.col("most")) / BLOCK).cast("int").alias("high"),
     ), "parts")
-    apart = stored(lists.join(parts, F.col("token") == F.col("of")).drop("of"), "mixed")
-    # A shingle that two sets of different components share has a list in ``apart``, so these suffice to find the first one.
+    mixed = stored(lists.join(parts, F.col("token") == F.col("of")).drop("of"), "mixed")
+    discard(parts)
+    return mixed
+
+
+def first_shingles(apart: DataFrame) -> DataFrame:
+    """The first shared shingles of each group, null beyond them.
+
+    A shingle that two sets of different components share has a list in ``apart``, so these suffice to find the first one.
+    """
     first = F.slice(F.array_sort(F.collect_set(F.struct("place", "token"))), 1, len(HEADS))["token"]
     heads = apart.filter("token <> grp").groupBy(F.col("grp").alias("of_grp")).agg(first.alias("first"))
-    heads = heads.select("of_grp", *[F.get("first", F.lit(i)).alias(h) for i, h in enumerate(HEADS)])
+    return stored(heads.select("of_grp", *[F.get("first", F.lit(i)).alias(h) for i, h in enumerate(HEADS)]), "heads")
+
+
+def apart_in_lists(mixed: DataFrame, heads: DataFrame, nodes: DataFrame, percent: int, dense: int | None) -> DataFrame:
+    """Pairs (a, b) of members of a list that lie in different components and whose sketches allow the similarity.
+
+    Members outside of a list's largest component are compared with all of the list, in blocks of bounded size that are dealt over tasks; only
+    pairs that pass leave a task, and in one list: that of their first shared shingle, or of their group. A block with more than ``dense`` such
+    pairs for each member gives instead a least forest of them, the most alike first, which joins the same components; ``token`` then names
+    its list, which is to be read again when the links among these are known, and is null elsewhere.
+    """
     sketch = nodes.select(F.col("node").alias("own"), *SKETCH)
     values = ["node", "n", "place", "root", "grp", *HEADS, *SKETCH]
-    members = apart.join(heads, F.col("grp") == F.col("of_grp"), "left").join(sketch, F.col("node") == F.col("own"))
+    members = mixed.join(heads, F.col("grp") == F.col("of_grp"), "left").join(sketch, F.col("node") == F.col("own"))
     members = members.withColumns({h: F.coalesce(h, F.lit(0)) for h in HEADS})
     few = F.col("root") != F.col("main")
     row, column = F.pmod("node", "high").cast("int"), F.pmod("node", "wide").cast("int")
@@ -226,33 +241,75 @@ def apart_in_lists(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFram
     dealt = members.select("token", "main", *values, blocks).select("token", "at.i", "at.j", (~F.col("at.few")).alias("other"), "main", *values)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, few_rows = None, np.zeros((0, len(values)), np.int64)
+        key, few_rows, met = None, np.zeros((0, len(values)), np.int64), 0
+        given, forest, n_pairs, much = [], np.zeros((0, 5), np.int64), 0, False
+
+        def told() -> pa.RecordBatch:
+            ends = forest[:, :2] if much else np.concatenate([np.zeros((0, 2), np.int64), *given])
+            token = pa.array(np.full(len(ends), key[0]), pa.int64(), mask=np.full(len(ends), not much))
+            return pa.RecordBatch.from_arrays([token, pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1))], names=["token", "a", "b"])
+
         for batch in batches:
             keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)], axis=1)
             other, main = batch.column(3).to_numpy(zero_copy_only=False), batch.column(4).to_numpy()
             rows = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(5, batch.num_columns)], axis=1)
             starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
-            pairs = []
             for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
                 if key is None or (keys[first] != key).any():
-                    key, few_rows = keys[first], few_rows[:0]
+                    if n_pairs:
+                        yield told()
+                    key, few_rows, met = keys[first], few_rows[:0], 0
+                    given, forest, n_pairs, much = [], forest[:0], 0, False
                 block, late = rows[first:last], other[first:last]
                 few_rows = np.concatenate([few_rows, block[~late]])
-                block = block[late]
-                high = max(1, (1 << 18) // max(1, len(block)))
+                block, met = block[late], met + len(block)
+                high = max(1, AT_ONCE // max(1, len(block)))
                 for begin in range(0, len(few_rows) if len(block) else 0, high):
                     some = few_rows[begin : begin + high]
-                    for i, j in zip(*plausible_pairs(some, block, main[first], percent), strict=True):
-                        one, two = some[i], block[j]
-                        if given_here(one, two, key[0]):
-                            pairs.append((min(one[0], two[0]), max(one[0], two[0])))
-            a, b = np.array(pairs, np.int64).reshape(-1, 2).T
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                    i, j, apart = alike(some, block, main[first], percent)
+                    if not len(i):
+                        continue
+                    n_pairs += len(i)
+                    if dense is not None:
+                        unlike = (apart << 32) // (some[i, 1] + block[j, 1])
+                        forest = least_forest(np.concatenate([forest, np.stack([some[i, 0], block[j, 0], some[i, 3], block[j, 3], unlike], axis=1)]))
+                        much = much or n_pairs > dense * (met + SLACK)
+                    if much:
+                        given = []
+                    else:
+                        here = given_in(some[i], block[j], key[0])
+                        given.append(np.stack([some[i[here], 0], block[j[here], 0]], axis=1))
+        if n_pairs:
+            yield told()
 
     grouped = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "other")
-    found = stored(grouped.mapInArrow(compare, "a long, b long").distinct(), "rest")
-    discard(parts, apart)
-    return found
+    return stored(grouped.mapInArrow(compare, "token long, a long, b long"), "apart")
+
+
+def least_forest(pairs: np.ndarray) -> np.ndarray:
+    """Of pairs (a, b, root of a, root of b, unlikeness) those of a least spanning forest of the roots."""
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0], pairs[:, 4]))]
+    roots, ends = np.unique(pairs[:, 2:4], return_inverse=True)
+    ends, part, chosen = ends.reshape(-1, 2), np.arange(len(roots)), []
+    left = np.arange(len(pairs))
+    while True:
+        sides = part[ends[left]]
+        left, sides = left[sides[:, 0] != sides[:, 1]], sides[sides[:, 0] != sides[:, 1]]
+        if not len(left):
+            return pairs[np.sort(np.concatenate([np.zeros(0, np.int64), *chosen]))]
+        # Each part takes its first pair. As no two pairs rank alike, parts can only be in a circle by two.
+        first = np.full(len(roots), len(pairs))
+        np.minimum.at(first, sides.T.ravel(), np.tile(left, 2))
+        own = np.flatnonzero(first < len(pairs))
+        chosen.append(np.unique(first[own]))
+        met = part[ends[first[own]]]
+        up = np.arange(len(roots))
+        up[own] = np.where(met[:, 0] == own, met[:, 1], met[:, 0])
+        back = (up[up] == np.arange(len(roots))) & (up > np.arange(len(roots)))
+        up[back] = np.flatnonzero(back)
+        while (up != up[up]).any():
+            up = up[up]
+        part = up[part]
 
 
 def given_here(one: np.ndarray, two: np.ndarray, token: int) -> bool:
@@ -266,8 +323,22 @@ def given_here(one: np.ndarray, two: np.ndarray, token: int) -> bool:
     return before[0].isdisjoint(before[1])
 
 
+def given_in(ones: np.ndarray, twos: np.ndarray, token: int) -> np.ndarray:
+    """:func:`given_here` of each two rows."""
+    heads = [rows[:, 5 : 5 + len(HEADS)] for rows in (ones, twos)]
+    before = [(np.cumsum(h == token, axis=1) == 0) & (h != 0) for h in heads]
+    shared = (heads[0][:, :, None] == heads[1][:, None, :]) & before[0][:, :, None] & before[1][:, None, :]
+    return np.where(ones[:, 4] == twos[:, 4], ones[:, 4] == token, ~shared.any(axis=(1, 2)))
+
+
 def plausible_pairs(few: np.ndarray, block: np.ndarray, main: int, percent: int) -> tuple[list[int], list[int]]:
-    """Places of rows (node, n, place, root, group, first shingles, sketch words) of different components that may be similar.
+    """The places that :func:`alike` finds."""
+    i, j, _ = alike(few, block, main, percent)
+    return i.tolist(), j.tolist()
+
+
+def alike(few: np.ndarray, block: np.ndarray, main: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of rows (node, n, place, root, group, first shingles, sketch words) of different components that may be similar, and bits that differ.
 
     Sizes, places of the shared shingle (what both sets have after it bounds what they share, where it is the first one shared) and sketches
     are exact bounds. Two rows of ``few`` also meet the other way round and are given once; rows of ``main`` are in ``block`` alone.
@@ -285,7 +356,7 @@ def plausible_pairs(few: np.ndarray, block: np.ndarray, main: int, percent: int)
         apart += np.bitwise_count((few[i, words] ^ block[j, words]).view(np.uint64)).sum(axis=1, dtype=np.int64)
         kept = (100 + percent) * apart <= (100 - percent) * both
         i, j, both, apart = i[kept], j[kept], both[kept], apart[kept]
-    return i.tolist(), j.tolist()
+    return i, j, apart
 
 
 def fits(a: str, b: str, percent: int) -> Column:
@@ -392,10 +463,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     root = rooted.select(F.col("node").alias("named"), "root")
     placed = stored(expanded.join(root, F.col("node") == F.col("named"), "left").select("token", "grp", "node", "n", "place", F.coalesce("root", "node").alias("root")), "placed")
     discard(lists, groups)
-    apart = apart_in_lists(placed, nodes, percent)
-    rest = stored(apart.join(pairs, ["a", "b"], "left_anti"), "rest")
-    discard(placed, apart, rooted)
+    mixed = mixed_lists(placed)
+    discard(placed)
+    heads = first_shingles(mixed)
+    apart = apart_in_lists(mixed, heads, nodes, percent, DENSE)
+    discard(rooted)
+    rest = stored(apart.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "rest")
     more = compared(rest, "more")
+    crowded = stored(apart.filter("token is not null").select(F.col("token").alias("of")).distinct(), "crowded")
+    if not crowded.isEmpty():
+        # Most of these lists' members are now in one component. Only pairs of what is left are compared again, and all of them are given.
+        rooted = stored(components(links.union(more)), "roots")
+        root = rooted.select(F.col("node").alias("named"), "root")
+        again = mixed.select("token", "grp", "node", "n", "place").join(crowded, F.col("token") == F.col("of"))
+        again = again.join(root, F.col("node") == F.col("named"), "left").select("token", "grp", "node", "n", "place", F.coalesce("root", "node").alias("root"))
+        again = mixed_lists(again)
+        left = apart_in_lists(again, heads, nodes, percent, None)
+        known = pairs.union(apart.select("a", "b"))
+        rest = stored(left.select("a", "b").distinct().join(known, ["a", "b"], "left_anti"), "rest")
+        begun, ended = more, compared(rest, "more")
+        more = stored(begun.union(ended), "more")
+        discard(rooted, again, left, begun, ended)
+    discard(mixed, heads, apart, crowded)
     final = stored(components(links.union(more)), "components")
     discard(pairs, links, more)
 
