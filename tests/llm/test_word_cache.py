@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
+import pyarrow as pa
+
 from tradewind.llm import tokens
 
 
@@ -43,3 +47,16 @@ def test_texts_of_any_white_space_are_encoded_as_whole_ones():
         for text, raw in zip(texts, words.encode(texts), strict=True):
             whole = words.tokenizer.encode(text, add_special_tokens=False).ids
             assert raw == b"".join(n.to_bytes(4, "little") for n in whole)
+
+
+def test_cached_words_take_little_more_than_their_letters_and_ids():
+    words = tokens.WordEncoder(tokens.tokenizer_path(), 48 << 20)
+    letters = "abcdefghijklmnopqrst"
+    many = ["".join(letters[i // 20**k % 20] for k in range(4)) for i in range(40_000)]
+    texts = pa.array([" ".join(many[:20_000]), " ".join(many[20_000:])], pa.large_string())
+    arrow = pa.total_allocated_bytes()
+    tracemalloc.start()
+    words.encode(texts)
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    tracemalloc.stop()
+    assert len(words.known[1]) >= 39_998 and held < 80 * len(many)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +21,15 @@ LETTERS, DIGITS, MARKS = "A-Za-zÀ-ÖØ-öø-ʯΆΈ-ΊΌΎ-ΡΣ-ώЀ-ҁҊ-ӿ", "
 RUNS, OF_RUNS = re.compile(f"[{LETTERS}]+|[{DIGITS}]+|[{MARKS}]+"), f"^[{LETTERS}{DIGITS}{MARKS}]+$"
 DEFAULT_FILE = "byte_bpe_50k.json"
 #: Words, or runs of words, that go to the tokenizer as one text.
-LINES = 500
+LINES = 100
+#: Characters of a word beyond which it goes to the tokenizer alone.
+WIDE = 500
 #: Such texts that are with the tokenizer at once; an encoding is some hundred times as large as its ids.
 GROUPS = 32
 #: Bytes of text that one step encodes.
-STEP = 8 << 20
+STEP = 4 << 20
 #: Bytes of a cached word beside its letters and ids.
-ENTRY = 180
+ENTRY = 16
 
 _encoders: dict[tuple[str, int], "WordEncoder"] = {}
 
@@ -38,7 +42,11 @@ def tokenizer_path(name: str = DEFAULT_FILE) -> str:
 
 @contextmanager
 def encoder(path: str, capacity: int = 48 << 20) -> Iterator["WordEncoder"]:
-    """This worker's encoder, for one task: the vocabulary stays with the worker, the cache goes with the task."""
+    """This worker's encoder, for one task: the vocabulary stays with the worker, the cache goes with the task.
+
+    A task has one core, so the library starts no threads beside it unless the environment says otherwise.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if (path, capacity) not in _encoders:
         _encoders[path, capacity] = WordEncoder(path, capacity)
     try:
@@ -57,6 +65,7 @@ class WordEncoder:
     that were not, such as keys and hashes, go with it and are encoded again. A text with other white space is
     cut only where the same holds, and its pieces are encoded as they are. A text that holds an added token of
     the vocabulary, such as its end mark, is encoded whole, as the library finds these before anything else.
+    Known words and their ids are columns, not Python objects, which take several times the room and time.
 
     Where the vocabulary's own pre-tokens are runs of letters, digits or marks, words are cut into these here and the library
     only merges them, which spares it the search for them. Words with other characters are left to it whole.
@@ -64,16 +73,16 @@ class WordEncoder:
 
     def __init__(self, path: str, capacity: int) -> None:
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import WhitespaceSplit
+        from tokenizers.pre_tokenizers import Split
 
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = Tokenizer(self.tokenizer.model) if self._cuts_runs() else None
         if self.merges:
-            self.merges.pre_tokenizer = WhitespaceSplit()
+            self.merges.pre_tokenizer = Split(visible("\n"), "isolated")
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.capacity = capacity
         self.forget()
-        self.line_break = self._ids(["\n"])[0]
+        (self.line_break,) = self._ids(["\n"])[0].tolist()
 
     def _cuts_runs(self) -> bool:
         """Whether the vocabulary's pre-tokens of every character in question are the runs of :data:`RUNS`."""
@@ -83,70 +92,66 @@ class WordEncoder:
             return False
         wanted = [visible(run) for run in RUNS.findall(words[0])]
         for word in words[1:]:
-            first, *others = map(visible, RUNS.findall(word))
-            wanted += [SPACE + first, *others]
+            first, *others = RUNS.findall(word)
+            wanted += map(visible, [" " + first, *others])
         return [run for run, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(" ".join(words))] == wanted
 
     def forget(self) -> None:
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})  # at line starts, after a space
-        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.known, self.older = (NOTHING, NOTHING), (NOTHING, NOTHING)  # at line starts, after a space
         self.size = 0
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [np.array(e.ids, "<u4") for e in found]
 
-    def _learn(self, words: list[str], before: str) -> dict[str, bytes]:
+    def _learn(self, words: list[str], before: str) -> "Coded":
         """The ids of words after ``before``: of their runs where these are known to be pre-tokens, else of many words as lines of a text."""
-        wide = [w for w in words if len(w) > LINES]
-        learnt = dict(zip(wide, self._ids([before + w for w in wide]), strict=True))
-        words = [w for w in words if len(w) <= LINES]
-        if not self.merges or not words:
-            return learnt | self._lines(words, before)
         every = pa.array(words, pa.large_string())
-        whole = np.asarray(pc.match_substring_regex(every, OF_RUNS))
-        learnt |= self._lines([words[i] for i in np.flatnonzero(~whole).tolist()], before)
+        wide = np.asarray(pc.greater(pc.utf8_length(every), WIDE))
+        whole = np.asarray(pc.match_substring_regex(every, OF_RUNS)) & ~wide if self.merges else np.zeros(len(every), bool)
+        alone, lines = every.filter(pa.array(wide)), every.filter(pa.array(~wide & ~whole))
+        ids = self._ids([before + w for w in strings(alone)])
+        learnt = [
+            Coded(alone, flat(ids), np.fromiter(map(len, ids), np.int32, len(ids))),
+            Coded(lines, *self._lines(self.tokenizer, lines, before)),
+        ]
         every = every.filter(pa.array(whole))
-        parted = pc.utf8_rtrim(pc.replace_substring_regex(every, f"([{LETTERS}]+|[{DIGITS}]+|[{MARKS}]+)", "\\1\n"), "\n")
-        cut = pc.split_pattern(pc.binary_join_element_wise(pa.scalar(before, parted.type), parted, pa.scalar("", parted.type)), "\n")
-        runs = cut.flatten().dictionary_encode()
-        names, known = strings(runs.dictionary), self.known[bool(before)]
-        ids = [known.get(r[len(before) :]) if r.startswith(before) else None for r in names]
-        fresh = [i for i, own in enumerate(ids) if own is None]
-        for i, own in zip(fresh, self._merged([visible(names[i]) for i in fresh]), strict=True):
-            ids[i] = own
-        # A word before a mark mostly stands without it too.
-        learnt |= {names[i][len(before) :]: ids[i] for i in fresh if names[i].startswith(before) and names[i][len(before) :].isalpha()}
-        raw, ends = joined(ids, runs.indices.to_numpy())
-        borders = (4 * ends[cut.offsets.to_numpy()]).tolist()
-        learnt.update(zip(strings(every), [raw[first:last] for first, last in zip(borders, borders[1:])], strict=True))
-        return learnt
-
-    def _merged(self, runs: list[str]) -> list[bytes]:
-        """The ids of each run, written in the vocabulary's characters."""
-        out: list[bytes] = []
-        every = [runs[i : i + LINES] for i in range(0, len(runs), LINES)]
-        for begin in range(0, len(every), GROUPS):
-            groups = [f" {LINE_BREAK} ".join([*group, ""]) for group in every[begin : begin + GROUPS]]
-            for encoding in self.merges.encode_batch_fast(groups, add_special_tokens=False):
-                out += self._between(np.array(encoding.ids, "<u4"))
-        return out
-
-    def _between(self, ids: np.ndarray) -> list[bytes]:
-        """The ids before each line break."""
-        raw, ends = ids.tobytes(), (4 * np.flatnonzero(ids == np.frombuffer(self.line_break, "<u4"))).tolist()
-        return [raw[first:end] for first, end in zip([0, *[e + 4 for e in ends]], ends)]
-
-    def _lines(self, words: list[str], before: str) -> dict[str, bytes]:
-        """Many words as lines of a text: a line break is a token of its own between two words."""
-        learnt = {}
-        every = [words[i : i + LINES] for i in range(0, len(words), LINES)]
-        for begin in range(0, len(every), GROUPS):
-            groups = every[begin : begin + GROUPS]
-            found = self.tokenizer.encode_batch_fast([before + f"\n{before}".join(g) + "\n" for g in groups], add_special_tokens=False)
-            for group, encoding in zip(groups, found, strict=True):
-                learnt.update(zip(group, self._between(np.array(encoding.ids, "<u4")), strict=True))
-        return learnt
+        if len(every):
+            parted = pc.utf8_rtrim(pc.replace_substring_regex(every, f"([{LETTERS}]+|[{DIGITS}]+|[{MARKS}]+)", "\\1\n"), "\n")
+            cut = pc.split_pattern(begun(before, parted), "\n")
+            runs = cut.flatten().dictionary_encode()
+            ids, sizes = self._of_runs(runs.dictionary, before)
+            ids, ends = joined(ids, sizes, runs.indices.to_numpy())
+            learnt.append(Coded(every, ids, np.diff(ends[cut.offsets.to_numpy()]).astype(np.int32)))
+        return together(learnt)
+
+    def _of_runs(self, runs: pa.LargeStringArray, before: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of runs, of which those that begin with ``before`` may be known as words."""
+        known = self.known[bool(before)]
+        at = pc.index_in(begun(before, known.words), value_set=runs)
+        places = np.asarray(pc.is_valid(at))
+        at = at.drop_null().to_numpy()
+        fresh = np.ones(len(runs), bool)
+        fresh[at] = False
+        own = taken(known.ids, known.sizes, np.flatnonzero(places))
+        ids, sizes = self._lines(self.merges, runs.filter(pa.array(fresh)), "", visible)
+        every = np.empty(len(runs), np.int64)
+        every[at], every[fresh] = np.arange(len(at)), len(at) + np.arange(len(sizes))
+        return taken(np.concatenate([own[0], ids]), np.concatenate([own[1], sizes]), every)
+
+    def _lines(self, tokenizer, words: pa.LargeStringArray, before: str, shown: Callable[[str], str] = str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of many words as lines of a text: a line break is a token of its own between two words."""
+        out = []
+        for begin in range(0, len(words), LINES * GROUPS):
+            some = begun(before, words.slice(begin, LINES * GROUPS))
+            borders = [*range(0, len(some), LINES), len(some)]
+            groups = pc.binary_join(pa.ListArray.from_arrays(pa.array(borders, pa.int32()), some), pa.scalar("\n", some.type))
+            texts = [shown(g + "\n") for g in strings(groups)]
+            for encoding in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                out.append(np.array(encoding.ids, "<u4"))
+        every = flat(out)
+        breaks = every == self.line_break
+        return every[~breaks], np.diff(np.flatnonzero(breaks), prepend=-1).astype(np.int32) - 1
 
     def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null and empty texts have none."""
@@ -159,7 +164,7 @@ class WordEncoder:
         out = [b""] * len(texts)
         for i in np.flatnonzero(pc.or_(odd, marked)).tolist():
             text = texts[i].as_py()
-            out[i] = b"".join(self._ids([text] if marked[i].as_py() else BORDER.split(text)))
+            out[i] = flat(self._ids([text] if marked[i].as_py() else BORDER.split(text))).tobytes()
         for i, raw in zip(np.flatnonzero(some).tolist(), self._of_words(texts.filter(some)), strict=True):
             out[i] = raw
         return out
@@ -172,48 +177,88 @@ class WordEncoder:
         if not len(texts):
             return
         lines = pc.replace_substring(texts, "\n", " \n")
-        cut = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\n", lines.type), lines, pa.scalar("", lines.type)), " ")
+        cut = pc.split_pattern(begun("\n", lines), " ")
         coded = cut.flatten().dictionary_encode()
         words = coded.dictionary
         after_break = np.asarray(pc.starts_with(words, "\n"))
-        raw = np.empty(len(words), object)
-        for kind, before in enumerate(("", " ")):
-            places = np.flatnonzero(after_break == (kind == 0))
-            own = words.take(pa.array(places))
-            raw[places] = self._look_up(kind, strings(own if kind else pc.utf8_slice_codeunits(own, 1)), before)
-        raw[after_break] = [self.line_break + ids for ids in raw[after_break]]
-        raw = raw.tolist()
-        every, ends = joined(raw, coded.indices.to_numpy())
-        mark = len(self.line_break)
-        borders = (4 * ends[cut.offsets.to_numpy()]).tolist()
+        first, rest = (words.filter(pa.array(some)) for some in (after_break, ~after_break))
+        first, rest = self._look_up(0, pc.utf8_slice_codeunits(first, 1), ""), self._look_up(1, rest, " ")
+        # The line break goes before each first word.
+        ids = np.concatenate([np.insert(first[0], np.cumsum(first[1]) - first[1], self.line_break), rest[0]])
+        places = np.empty(len(words), np.int64)
+        places[after_break], places[~after_break] = np.arange(len(first[1])), len(first[1]) + np.arange(len(rest[1]))
+        ids, ends = joined(ids, np.concatenate([first[1] + 1, rest[1]]), places[coded.indices.to_numpy()])
+        borders = ends[cut.offsets.to_numpy()].tolist()
         for begin, end in zip(borders, borders[1:]):
-            yield every[begin + mark : end]
+            yield ids[begin + 1 : end].tobytes()
         if self.size > self.capacity // 2:
-            self.known, self.older, self.size = ({}, {}), self.known, 0
+            self.known, self.older, self.size = (NOTHING, NOTHING), self.known, 0
 
-    def _look_up(self, kind: int, words: list[str], before: str) -> list[bytes]:
-        """The ids of each word, which are known from now on."""
+    def _look_up(self, kind: int, words: pa.LargeStringArray, before: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words, which are known from now on."""
         known, older = self.known[kind], self.older[kind]
-        found = list(map(known.get, words))
-        fresh = [w for w, ids in zip(words, found) if ids is None]
-        if fresh:
-            learnt = {w: ids for w, ids in zip(fresh, map(older.get, fresh)) if ids is not None}
-            learnt |= self._learn([w for w in fresh if w not in learnt] if learnt else fresh, before)
-            known.update(learnt)
-            self.size += sum(map(len, learnt)) + sum(map(len, learnt.values())) + ENTRY * len(learnt)
-            found = [learnt[w] if ids is None else ids for w, ids in zip(words, found)]
-        return found
-
-
-def joined(ids: list[bytes], which: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The entries of ``ids`` that ``which`` numbers, one after another, and their borders in ids."""
-    flat, sizes = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
-    starts, of, ends = np.cumsum(sizes) - sizes, sizes[which], np.zeros(len(which) + 1, np.int64)
+        at = pc.index_in(words, value_set=known.words)
+        fresh = words.filter(pc.is_null(at))
+        at = at.fill_null(-1).to_numpy().copy()
+        if len(fresh):
+            back = older.some(np.flatnonzero(pc.is_in(older.words, value_set=fresh)))
+            new = fresh.filter(pc.invert(pc.is_in(fresh, value_set=back.words)))
+            learnt = together([back, self._learn(strings(new), before)] if len(new) else [back])
+            at[at < 0] = len(known) + pc.index_in(fresh, value_set=learnt.words).to_numpy()
+            known = together([known, learnt])
+            self.known = (known, self.known[1]) if kind == 0 else (self.known[0], known)
+            self.size += learnt.words.nbytes + learnt.ids.nbytes + ENTRY * len(learnt)
+        return taken(known.ids, known.sizes, at)
+
+
+@dataclass
+class Coded:
+    """Distinct words, their ids one after another, and the number of ids of each."""
+
+    words: pa.LargeStringArray
+    ids: np.ndarray
+    sizes: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def some(self, places: np.ndarray) -> "Coded":
+        return Coded(self.words.take(pa.array(places)), *taken(self.ids, self.sizes, places))
+
+
+NOTHING = Coded(pa.array([], pa.large_string()), np.zeros(0, "<u4"), np.zeros(0, np.int32))
+
+
+def together(parts: list[Coded]) -> Coded:
+    parts = [p for p in parts if len(p)] or [NOTHING]
+    if len(parts) == 1:
+        return parts[0]
+    return Coded(pa.concat_arrays([p.words for p in parts]), *(np.concatenate([getattr(p, x) for p in parts]) for x in ("ids", "sizes")))
+
+
+def begun(before: str, texts: pa.LargeStringArray) -> pa.LargeStringArray:
+    """Each text after ``before``."""
+    return pc.binary_join_element_wise(pa.scalar(before, texts.type), texts, pa.scalar("", texts.type)) if before else texts
+
+
+def flat(ids: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(ids) if ids else np.zeros(0, "<u4")
+
+
+def joined(ids: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the entries that ``which`` numbers, one after another, and their borders."""
+    of, ends = sizes[which], np.zeros(len(which) + 1, np.int64)
     np.cumsum(of, out=ends[1:])
-    kind = np.int32 if max(len(flat), ends[-1]) < 1 << 31 else np.int64
+    kind = np.int32 if max(len(ids), ends[-1]) < 1 << 31 else np.int64
+    starts = np.cumsum(sizes, dtype=np.int64) - sizes
     places = np.repeat((starts[which] - ends[:-1]).astype(kind), of)
     places += np.arange(ends[-1], dtype=kind)
-    return flat[places].tobytes(), ends
+    return ids[places], ends
+
+
+def taken(ids: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids and sizes of the entries that ``which`` numbers."""
+    return joined(ids, sizes, which)[0], sizes[which]
 
 
 def strings(texts: pa.Array) -> list[str]:
@@ -221,17 +266,16 @@ def strings(texts: pa.Array) -> list[str]:
     return texts.to_numpy(zero_copy_only=False).tolist()
 
 
-def _byte_letters() -> dict[int, str]:
+def _byte_letters() -> np.ndarray:
     """The character by which byte-level vocabularies write each byte."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     others = iter(range(0x100, 0x200))
-    return {b: chr(b if b in shown else next(others)) for b in range(256)}
+    return np.array([b if b in shown else next(others) for b in range(256)], "<u2")
 
 
 BYTES = _byte_letters()
-SPACE, LINE_BREAK = BYTES[0x20], BYTES[0x0A]
 
 
-def visible(run: str) -> str:
-    """A run's bytes in the characters of a byte-level vocabulary."""
-    return run.replace(" ", SPACE) if run.isascii() else run.encode().decode("latin-1").translate(BYTES)
+def visible(text: str) -> str:
+    """A text's bytes in the characters of a byte-level vocabulary."""
+    return BYTES[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-16-le")
