@@ -97,7 +97,7 @@ class WordEncoder:
         return [run for run, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(" ".join(words))] == wanted
 
     def forget(self) -> None:
-        self.known, self.older = (NOTHING, NOTHING), (NOTHING, NOTHING)  # at line starts, after a space
+        self.known, self.older = ({}, {}), ({}, {})  # at line starts, after a space
         self.size = 0
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -127,7 +127,7 @@ class WordEncoder:
 
     def _of_runs(self, runs: pa.LargeStringArray, before: str) -> tuple[np.ndarray, np.ndarray]:
         """The ids of runs, of which those that begin with ``before`` may be known as words."""
-        known = self.known[bool(before)]
+        known = self.known[bool(before)] or NOTHING
         at = pc.index_in(begun(before, known.words), value_set=runs)
         places = np.asarray(pc.is_valid(at))
         at = at.drop_null().to_numpy()
@@ -192,11 +192,11 @@ class WordEncoder:
         for begin, end in zip(borders, borders[1:]):
             yield ids[begin + 1 : end].tobytes()
         if self.size > self.capacity // 2:
-            self.known, self.older, self.size = (NOTHING, NOTHING), self.known, 0
+            self.known, self.older, self.size = ({}, {}), self.known, 0
 
     def _look_up(self, kind: int, words: pa.LargeStringArray, before: str) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct words, which are known from now on."""
-        known, older = self.known[kind], self.older[kind]
+        known, older = self.known[kind] or NOTHING, self.older[kind] or NOTHING
         at = pc.index_in(words, value_set=known.words)
         fresh = words.filter(pc.is_null(at))
         at = at.fill_null(-1).to_numpy().copy()
